@@ -17,7 +17,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesabc import config
-from salesabc.operators import pareto
+from salesabc.functions import business, dates, numeric
+from salesabc.functions import text as text_fn
+from salesabc.operators import catalog, clean, consolidate, pareto, settlement
+from salesabc.plans import sales_run
+from salesabc.sinks import writers
+from salesabc.sources import catalog_sources, order_feed
 from salesabc.sources import testviews as tv
 
 PROFILE = config.TEST_PROFILE
@@ -63,3 +68,246 @@ def pareto_table_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def missing_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interchange(pareto.missing_months(tv.sales_lines(spark, sf_dir), PROFILE))
+
+
+# --- Shared inputs built from the test tables -------------------------------------
+
+def _sheet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = tv.sales_lines(spark, sf_dir)
+    return lines.select(*tv.SALES_COLUMNS, F.col("ingest_order").alias("sheet_order"))
+
+
+def _catalog_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tv.catalog_rows(spark, sf_dir).withColumnsRenamed(config.CATALOG_CSV_RENAME)
+
+
+def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.aggregate_catalog(_catalog_rows(spark, sf_dir))
+
+
+def _settlement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return settlement.aggregate_settlement(tv.settlement_rows(spark, sf_dir))
+
+
+def _feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_feed.parse_pages(tv.order_pages_text(spark, sf_dir))
+
+
+def run_inputs(spark: SparkSession, sf_dir: str, as_of: dt.date) -> sales_run.RunInputs:
+    rows = _sheet_rows(spark, sf_dir)
+    key = as_of.strftime("%Y-%m")
+    month = F.date_format("data_do_pedido", "yyyy-MM")
+    return sales_run.RunInputs(
+        closed_sheets=rows.filter(month != key),
+        current_sheet=None if as_of.day == 1 else rows.filter(month == key),
+        feed_pages=_feed_pages(spark, sf_dir),
+        catalog=_catalog(spark, sf_dir),
+        settlement=_settlement(spark, sf_dir),
+    )
+
+
+def _run(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF) -> sales_run.RunStages:
+    return sales_run.run_sales(run_inputs(spark, sf_dir, as_of), as_of, PROFILE)
+
+
+def _clean_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.clean_sales(tv.sales_lines(spark, sf_dir), PROFILE)
+
+
+# --- Cleaning rules -------------------------------------------------------------------
+
+@query
+def status_store_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = tv.sales_lines(spark, sf_dir).select(
+        "loja", "status", F.col("loja").alias("loja_original"), F.col("status").alias("status_original"))
+    std = raw.select("loja_original", "status_original",
+                     business.standard_store(F.col("loja"), PROFILE).alias("loja"),
+                     business.standard_status(F.col("status")).alias("status"))
+    return std.groupBy("loja_original", "status_original", "loja", "status").agg(
+        F.count("*").alias("linhas"))
+
+
+@query
+def logistics_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = tv.sales_lines(spark, sf_dir)
+    out = lines.select("loja", F.col("tipo_logistica").alias("tipo_logistica_original"),
+                       business.logistics_class(business.standard_store(F.col("loja"), PROFILE),
+                                                F.col("tipo_logistica"), PROFILE).alias("tipo_logistica"))
+    return out.groupBy("loja", "tipo_logistica_original", "tipo_logistica").agg(F.count("*").alias("linhas"))
+
+
+@query
+def line_revenue_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _clean_lines(spark, sf_dir)
+    return interchange(c.select("numero_pedido", "sku", "rastreio", "loja", "quantidade",
+                                "valor_unitario_venda", "valor_total_produto"))
+
+
+# --- Catalogue ---------------------------------------------------------------------------
+
+@query
+def catalog_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interchange(_catalog(spark, sf_dir))
+
+
+@query
+def catalog_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    products = catalog_sources.flatten_products(
+        catalog_sources.parse_product_pages(tv.product_pages_text(spark, sf_dir)))
+    return catalog.enrich_catalog(products, tv.enrichment_rows(spark, sf_dir))
+
+
+@query
+def sales_with_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    j = catalog.join_catalog(_clean_lines(spark, sf_dir), _catalog(spark, sf_dir))
+    return interchange(j.select("numero_pedido", "sku", "rastreio", "quantidade", "titulo", "custo_unitario",
+                                "custo_total_produto", "Estq", "Fornecedores", "Categoria", "Subcategoria",
+                                "tipo_de_venda"))
+
+
+# --- Settlement ------------------------------------------------------------------------------
+
+@query
+def settlement_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interchange(_settlement(spark, sf_dir))
+
+
+@query
+def sales_with_settlement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    j = settlement.apply_settlement(_clean_lines(spark, sf_dir), _settlement(spark, sf_dir))
+    return interchange(j.select("numero_pedido", "sku", "rastreio", "loja", "quantidade", "valor_total_produto",
+                                "cashback_cupom", "Comissão"))
+
+
+# --- Consolidation -----------------------------------------------------------------------------
+
+@query
+def rolling_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    st = _run(spark, sf_dir, AS_OF)
+    return interchange(st.union.select("numero_pedido", "sku", "data_do_pedido", "hora_do_pedido", "loja",
+                                       "quantidade", "rastreio", "source_rank", "origem_dados"))
+
+
+@query
+def rolling_refresh_day1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    st = _run(spark, sf_dir, AS_OF_DAY1)
+    return interchange(st.union.select("numero_pedido", "sku", "data_do_pedido", "hora_do_pedido", "loja",
+                                       "quantidade", "rastreio", "source_rank", "origem_dados"))
+
+
+@query
+def dedup_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    st = _run(spark, sf_dir, AS_OF)
+    return interchange(st.deduped.select("numero_pedido", "sku", "data_do_pedido", "hora_do_pedido",
+                                         "rastreio", "source_rank", "origem_dados", "valor_total_produto"))
+
+
+@query
+def sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interchange(_run(spark, sf_dir, AS_OF).fact)
+
+
+@query
+def month_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    st = _run(spark, sf_dir, AS_OF)
+    m = consolidate.month_filter(st.enriched, AS_OF.year, AS_OF.month).drop("origem_dados")
+    return interchange(m.select("numero_pedido", "sku", "data_do_pedido", "hora_do_pedido", "rastreio",
+                                "quantidade", "custo_unitario", "custo_total_produto", "source_rank"))
+
+
+@query
+def pareto_from_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interchange(pareto.pareto_abc(_run(spark, sf_dir, AS_OF).fact, PROFILE))
+
+
+@query
+def store_prefix_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = tv.sales_lines(spark, sf_dir)
+    g = lines.select(F.explode(business.group_labels(F.col("loja"), PROFILE)).alias("grupo"),
+                     "quantidade", "valor_total_produto")
+    return interchange(g.groupBy("grupo").agg(
+        F.count("*").alias("linhas"), F.sum("quantidade").alias("quantidade"),
+        F.sum("valor_total_produto").cast(config.MONEY).alias("valor_total_produto")))
+
+
+# --- Sources ------------------------------------------------------------------------------------
+
+@query
+def order_items_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = order_feed.feed_rows(_feed_pages(spark, sf_dir))
+    return interchange(rows.select("numero_pedido", "data_do_pedido", "hora_do_pedido", "loja", "sku", "status",
+                                   "valor_unitario_venda", "quantidade", "numero_pedido_erp", "numero_carrinho",
+                                   "titulo", "id_canal_marketplace", "rastreio", "tipo_logistica"))
+
+
+@query
+def product_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog_sources.flatten_products(catalog_sources.parse_product_pages(tv.product_pages_text(spark, sf_dir)))
+
+
+@query
+def order_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interchange(order_feed.order_sample(_feed_pages(spark, sf_dir), AS_OF, 10))
+
+
+@query
+def page_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_feed.page_completeness(_feed_pages(spark, sf_dir), config.FEED_PAGE_SIZE)
+
+
+# --- Scalar functions ------------------------------------------------------------------------------
+
+@query
+def safe_decimal_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = tv.table(spark, sf_dir, "lineitem")
+    dec2 = T.DecimalType(18, 2)
+    texts = li.select(
+        F.col("l_orderkey").cast("string").alias("numero_pedido"),
+        F.col("l_linenumber").cast("long").alias("linha"),
+        F.replace(F.col("l_extendedprice").cast(dec2).cast("string"), F.lit("."), F.lit(",")).alias("t_virgula"),
+        (F.col("l_extendedprice").cast(dec2) * 10000).cast(T.DecimalType(20, 2)).cast("string").alias("t_grande"),
+        F.col("l_returnflag").alias("t_lixo"),
+        F.when(F.col("l_linenumber") != 1, F.col("l_discount").cast(dec2).cast("string")).alias("t_nulo"),
+        F.col("l_quantity").cast("string").alias("t_qtd"))
+    out = texts.select(
+        "numero_pedido", "linha",
+        numeric.parse_decimal(F.col("t_virgula"), 3).alias("v_virgula"),
+        numeric.parse_decimal(F.col("t_grande"), 3).alias("v_grande"),
+        numeric.parse_decimal(F.col("t_lixo"), 3).alias("v_lixo"),
+        numeric.parse_decimal(F.col("t_nulo"), 2).alias("v_nulo"),
+        numeric.parse_long(F.col("t_qtd")).alias("v_qtd"))
+    return interchange(out)
+
+
+@query
+def date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = tv.table(spark, sf_dir, "orders")
+    d = F.col("o_orderdate")
+    digit = F.substring("o_orderpriority", 1, 1)
+    text = (F.when(digit == "1", F.date_format(d, "dd/MM/yyyy HH:mm:ss"))
+             .when(digit == "2", F.date_format(d, "dd/MM/yyyy"))
+             .when(digit == "3", F.date_format(d, "yyyy-MM-dd"))
+             .when(digit == "4", F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit("T00:00:00")))
+             .otherwise(F.concat(F.lit("x"), F.col("o_orderkey").cast("string"))))
+    t = o.select(F.col("o_orderkey").cast("string").alias("numero_pedido"), text.alias("texto"))
+    p = t.withColumn("data", dates.parse_sheet_date(F.col("texto")))
+    out = p.select("numero_pedido", "texto", "data",
+                   F.date_sub("data", 1).alias("dia_anterior"),
+                   F.trunc("data", "MM").alias("inicio_mes"),
+                   F.last_day("data").alias("fim_mes"),
+                   F.month("data").cast("long").alias("mes"),
+                   F.year("data").cast("long").alias("ano"),
+                   dates.month_label(F.col("data")).alias("mes_referencia"))
+    return interchange(out)
+
+
+@query
+def markdown_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tv.table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    _, _, rows = writers.markdown_lines(docs)
+    return docs.select("doc_id", text_fn.markdown_cell(F.col("text")).alias("texto_limpo"),
+                       rows.columns and F.concat(
+                           F.lit("| "),
+                           F.concat_ws(" | ", *[F.coalesce(text_fn.markdown_cell(F.col(c).cast("string")), F.lit(""))
+                                                for c in docs.columns]),
+                           F.lit(" |")).alias("linha"))

@@ -132,3 +132,80 @@ def settlement_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_totalprice").cast(T.DecimalType(18, 3)).alias("preco_acordado"),
         line_order().alias("ingest_order"),
     )
+
+
+_ITEM_T = T.StructType([
+    T.StructField("unit_price", T.StringType()),
+    T.StructField("quantity", T.LongType()),
+    T.StructField("item", T.StructType([T.StructField("seller_custom_field", T.StringType()),
+                                        T.StructField("title", T.StringType())])),
+])
+
+
+def _feed_time(o: str = "o_orderkey", c: str = "o_custkey") -> Column:
+    """A wall-clock time per order, so the feed carries real times."""
+    return F.format_string("%02d:%02d:%02d", F.col(o) % 24, F.col(c) % 60, F.floor(F.col(o) / 24) % 60)
+
+
+def order_pages_text(spark: SparkSession, sf_dir: str, page_size: int = 50) -> DataFrame:
+    """The order feed as landed JSON pages (one page per row, column ``value``).
+
+    Orders carry their items in line order; orders without lines keep an
+    empty item list.  Pages hold ``page_size`` consecutive order keys and
+    every page repeats the feed's announced total.
+    """
+    li = table(spark, sf_dir, "lineitem")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
+    o = table(spark, sf_dir, "orders")
+    st = store_dim(spark, sf_dir)
+    item = F.struct(
+        F.col("p_retailprice").cast(T.DecimalType(18, 2)).cast("string").alias("unit_price"),
+        F.col("l_quantity").cast("long").alias("quantity"),
+        F.struct(F.col("l_partkey").cast("string").alias("seller_custom_field"),
+                 F.col("p_name").alias("title")).alias("item"))
+    items = (li.join(p, li.l_partkey == p.p_partkey)
+               .select("l_orderkey", F.struct(line_order().alias("k"), item.alias("it")).alias("e"))
+               .groupBy("l_orderkey")
+               .agg(F.transform(F.array_sort(F.collect_list("e")), lambda x: x["it"]).alias("items")))
+    order = F.struct(
+        F.col("o_orderkey").cast("string").alias("id"),
+        F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T"), _feed_time(),
+                 F.lit(".000-03:00")).alias("dateCreated"),
+        F.col("loja").alias("channelName"),
+        F.col("c_mktsegment").alias("channel"),
+        _status_raw(F.col("o_orderstatus")).alias("status"),
+        F.concat(F.lit("ERP-"), F.col("o_orderkey").cast("string")).alias("erpId"),
+        F.col("o_custkey").cast("string").alias("packId"),
+        F.struct(F.concat(F.lit("BR"), F.col("o_orderkey").cast("string")).alias("shipping_number"),
+                 _logistic_raw(F.col("o_orderpriority")).alias("logistic_type")).alias("shipping"),
+        F.coalesce(F.col("items"), F.array().cast(T.ArrayType(_ITEM_T)))
+         .alias("order_items"))
+    total = o.agg(F.count("*")).scalar()
+    orders = (o.join(st, o.o_custkey == st.c_custkey)
+               .join(items, o.o_orderkey == items.l_orderkey, "left")
+               .select(F.floor(F.col("o_orderkey") / page_size).cast("long").alias("page"),
+                       F.struct(F.col("o_orderkey").alias("k"), order.alias("o")).alias("e")))
+    pages = (orders.groupBy("page")
+                   .agg(F.transform(F.array_sort(F.collect_list("e")), lambda x: x["o"]).alias("orders")))
+    return pages.select(F.to_json(F.struct(F.col("page"), total.alias("total"), F.col("orders")))
+                        .alias("value"))
+
+
+def product_pages_text(spark: SparkSession, sf_dir: str, page_size: int = 100) -> DataFrame:
+    """Product pages as landed JSON (one page per row, column ``value``)."""
+    p = table(spark, sf_dir, "part")
+    prod = F.struct(F.col("p_partkey").cast("string").alias("codigo"), F.col("p_name").alias("nome"),
+                    F.col("p_retailprice").alias("precoCusto"),
+                    F.struct(F.col("p_size").cast("long").alias("saldoVirtualTotal")).alias("estoque"))
+    pages = (p.select(F.floor(F.col("p_partkey") / page_size).cast("long").alias("pagina"),
+                      F.struct(F.col("p_partkey").alias("k"), prod.alias("d")).alias("e"))
+              .groupBy("pagina")
+              .agg(F.transform(F.array_sort(F.collect_list("e")), lambda x: x["d"]).alias("data")))
+    return pages.select(F.to_json(F.struct("pagina", "data")).alias("value"))
+
+
+def enrichment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enrichment sheet rows (sku, supplier, category...), one per lineitem in file order."""
+    rows = catalog_rows(spark, sf_dir)
+    return rows.select(F.col("Código").alias("sku"), "Fornecedores", "Categoria", "Subcategoria",
+                       F.col("Tipo de Venda").alias("tipo_de_venda"), "ingest_order")
