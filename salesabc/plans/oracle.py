@@ -184,3 +184,384 @@ months AS (SELECT DISTINCT mes_data FROM dated)
 SELECT g.grupo, strftime(m.mes_data, '%Y-%m') AS mes, {month_label('m.mes_data')} AS mes_referencia
 FROM groups g CROSS JOIN months m
 WHERE NOT EXISTS (SELECT 1 FROM present p WHERE p.grupo = g.grupo AND p.mes_data = m.mes_data)"""
+
+
+# ---------------------------------------------------------------------------
+# Cleaning rules (B1-B4) as SQL expressions
+# ---------------------------------------------------------------------------
+
+WS = "chr(32) || chr(9) || chr(10) || chr(13) || chr(12) || chr(11)"
+
+
+def strip(c: str) -> str:
+    return f"trim({c}, {WS})"
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def lookup(c: str, mapping: dict[str, str]) -> str:
+    whens = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in mapping.items())
+    return f"(CASE {c} {whens} ELSE {c} END)"
+
+
+def std_store(c: str = "loja") -> str:
+    return lookup(f"coalesce({strip(c)}, '')", config.STORE_NAMES)
+
+
+def std_status(c: str = "status") -> str:
+    return lookup(f"coalesce({strip(c)}, '')", config.STATUS_LABELS)
+
+
+def logistics(loja: str, raw: str) -> str:
+    r = f"coalesce({strip(raw)}, '')"
+    parts = [f"WHEN {r} = {_q(v)} THEN {_q(label)}" for v, label in config.LOGISTICS_TOP_RAW]
+    for m in sorted(P.marketplaces, key=lambda m: -m.priority):
+        parts.append(f"WHEN starts_with({loja}, {_q(m.prefix)}) THEN {_q(m.logistics_class)}")
+    parts += [f"WHEN {r} = {_q(v)} THEN {_q(label)}" for v, label in config.LOGISTICS_LOW_RAW]
+    return f"(CASE {' '.join(parts)} ELSE {_q(config.LOGISTICS_DEFAULT)} END)"
+
+
+def recompute_cond(loja: str, qty: str) -> str:
+    pre = " OR ".join(f"starts_with({loja}, {_q(p)})" for p in P.recompute_prefixes)
+    return f"(({pre}) AND {qty} > 0)"
+
+
+def clean_cte(name: str, src: str, extra: str = "") -> str:
+    """B1-B4 over a typed source CTE (std store first, then rules on it)."""
+    return f"""
+{name}_s AS (
+  SELECT * REPLACE ({std_store('loja')} AS loja, {std_status('status')} AS status,
+                    CAST(round(valor_total_produto, 3) AS {D3}) AS valor_total_produto,
+                    CAST(round(valor_unitario_venda, 3) AS {D3}) AS valor_unitario_venda)
+  FROM {src}
+),
+{name} AS (
+  SELECT * REPLACE ({logistics('loja', 'tipo_logistica')} AS tipo_logistica,
+                    CASE WHEN {recompute_cond('loja', 'quantidade')}
+                         THEN CAST(round(valor_unitario_venda * quantidade, 3) AS {D3})
+                         ELSE valor_total_produto END AS valor_total_produto){extra}
+  FROM {name}_s
+)"""
+
+
+def parse_dec(t: str, scale: int = 3) -> str:
+    return (f"coalesce(CAST(round(TRY_CAST(replace({strip(f'CAST({t} AS VARCHAR)')}, ',', '.') "
+            f"AS DECIMAL(38,10)), {scale}) AS DECIMAL(18,{scale})), CAST(0 AS DECIMAL(18,{scale})))")
+
+
+def parse_long(t: str) -> str:
+    return (f"coalesce(TRY_CAST(TRY_CAST(replace({strip(f'CAST({t} AS VARCHAR)')}, ',', '.') "
+            f"AS DECIMAL(38,6)) AS BIGINT), 0)")
+
+
+CLEAN_LINES = SALES_LINES + "," + clean_cte("clean_lines", "sales_lines")
+
+# ---------------------------------------------------------------------------
+# Catalogue (A1) and settlement (A2)
+# ---------------------------------------------------------------------------
+
+CATALOG = """
+cat_rows AS (
+  SELECT CAST(l_partkey AS VARCHAR) AS sku, p_name AS titulo_bling,
+         CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS estq_txt,
+         replace(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR), '.', ',') AS custo_txt,
+         s_name AS Fornecedores, p_type AS Categoria, p_brand AS Subcategoria,
+         CASE WHEN l_linestatus = 'F' THEN 'Atacado' END AS tipo_de_venda,
+         l_orderkey, l_shipdate, l_linenumber, l_suppkey, l_quantity, l_extendedprice,
+         l_discount, l_tax, l_returnflag, l_linestatus
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
+),
+cat AS (
+  SELECT sku,
+         CAST(round(max(custo), 3) AS DECIMAL(18,3)) AS custo_unitario,
+         CAST(sum(estq) AS BIGINT) AS Estq,
+         coalesce(STRIP(first(titulo_bling ORDER BY LO) FILTER (WHERE titulo_bling IS NOT NULL)), '') AS titulo_bling,
+         STRIP(first(Fornecedores ORDER BY LO) FILTER (WHERE Fornecedores IS NOT NULL)) AS Fornecedores,
+         STRIP(first(Categoria ORDER BY LO) FILTER (WHERE Categoria IS NOT NULL)) AS Categoria,
+         STRIP(first(Subcategoria ORDER BY LO) FILTER (WHERE Subcategoria IS NOT NULL)) AS Subcategoria,
+         STRIP(first(tipo_de_venda ORDER BY LO) FILTER (WHERE tipo_de_venda IS NOT NULL)) AS tipo_de_venda
+  FROM (SELECT * REPLACE (STRIP(sku) AS sku), PARSE_COST AS custo, PARSE_ESTQ AS estq FROM cat_rows)
+  WHERE sku IS NOT NULL AND sku <> ''
+  GROUP BY sku
+)""".replace("LO", LINE_ORDER).replace("PARSE_COST", parse_dec("custo_txt")).replace(
+    "PARSE_ESTQ", parse_long("estq_txt"))
+
+
+def _expand_strip(sql: str) -> str:
+    """STRIP(x) -> trim(x, <whitespace>), respecting nested parentheses."""
+    out, i = [], 0
+    while True:
+        j = sql.find("STRIP(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        out.append(sql[i:j])
+        depth, k = 1, j + 6
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        out.append(strip(_expand_strip(sql[j + 6:k - 1])))
+        i = k
+
+
+CATALOG = _expand_strip(CATALOG)
+
+SETTLEMENT = STORE + """,
+srows AS (
+  SELECT l_returnflag AS arquivo, CAST(l_orderkey AS VARCHAR) AS id_pedido,
+         CAST(CAST(l_tax AS DECIMAL(18,3)) * 1000 AS DECIMAL(18,3)) AS moedas,
+         CAST(l_discount AS DECIMAL(18,3)) AS cupom,
+         CAST(round(CAST(l_extendedprice AS DECIMAL(18,3)) * 0.1, 3) AS DECIMAL(18,3)) AS taxa_comissao,
+         CAST(l_tax AS DECIMAL(18,3)) AS taxa_servico,
+         CAST(o_totalprice AS DECIMAL(18,3)) AS preco_acordado,
+         l_orderkey, l_shipdate, l_linenumber, l_suppkey, l_quantity, l_extendedprice,
+         l_discount, l_tax, l_returnflag, l_linestatus
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN store s ON o_custkey = s.c_custkey
+  WHERE s.r_name = 'ASIA'
+),
+sfile AS (
+  SELECT arquivo, id_pedido,
+         CAST(round(sum(CAST(round(moedas * 0.01, 3) AS DECIMAL(18,3)) + cupom), 3) AS DECIMAL(18,3)) AS cashback_cupom,
+         CAST(round(sum(taxa_comissao + taxa_servico), 3) AS DECIMAL(18,3)) AS "Comissão",
+         CAST(round(first(preco_acordado ORDER BY LO), 3) AS DECIMAL(18,3)) AS preco_acordado
+  FROM srows GROUP BY arquivo, id_pedido
+),
+settle AS (
+  SELECT id_pedido, preco_acordado, cashback_cupom, "Comissão" FROM (
+    SELECT *, row_number() OVER (PARTITION BY id_pedido ORDER BY arquivo DESC) AS rn FROM sfile) WHERE rn = 1
+)""".replace("LO", LINE_ORDER)
+
+
+def interchange(cols: list[tuple[str, str]]) -> str:
+    """Final projection: (expr, kind) with kind 'dec', 'date' or ''."""
+    out = []
+    for name, kind in cols:
+        q = f'"{name}"'
+        if kind == "dec":
+            out.append(f"CAST(CAST({q} AS DECIMAL(18,3)) AS DOUBLE) AS {q}")
+        elif kind == "date":
+            out.append(f"strftime({q}, '%Y-%m-%d') AS {q}")
+        else:
+            out.append(q)
+    return ", ".join(out)
+
+
+def cols(spec: str) -> list[tuple[str, str]]:
+    """'a, b:dec, c:date' -> [(a,''), (b,'dec'), (c,'date')]"""
+    res = []
+    for part in spec.split(","):
+        part = part.strip()
+        name, _, kind = part.partition(":")
+        res.append((name, kind))
+    return res
+
+
+ORACLE["status_store_normalise"] = f"""
+WITH {SALES_LINES}
+SELECT loja AS loja_original, status AS status_original, {std_store('loja')} AS loja,
+       {std_status('status')} AS status, count(*) AS linhas
+FROM sales_lines GROUP BY ALL"""
+
+ORACLE["logistics_class"] = f"""
+WITH {SALES_LINES}
+SELECT loja, tipo_logistica AS tipo_logistica_original,
+       {logistics(std_store('loja'), 'tipo_logistica')} AS tipo_logistica, count(*) AS linhas
+FROM sales_lines GROUP BY ALL"""
+
+ORACLE["line_revenue_rule"] = f"""
+WITH {CLEAN_LINES}
+SELECT {interchange(cols('numero_pedido, sku, rastreio, loja, quantidade, valor_unitario_venda:dec, valor_total_produto:dec'))}
+FROM clean_lines"""
+
+ORACLE["catalog_agg"] = f"""
+WITH {CATALOG}
+SELECT {interchange(cols('sku, custo_unitario:dec, Estq, titulo_bling, Fornecedores, Categoria, Subcategoria, tipo_de_venda'))}
+FROM cat"""
+
+ORACLE["catalog_enrich"] = f"""
+WITH prod AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS sku, p_name AS Produto, 'UN' AS UN,
+         CAST(p_size AS BIGINT) AS Quantidade,
+         replace(CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR), '.', ',') AS "Valor unitario"
+  FROM part
+),
+enr AS (
+  SELECT {strip('CAST(l_partkey AS VARCHAR)')} AS sku,
+         coalesce({strip('s_name')}, '') AS Fornecedores, coalesce({strip('p_type')}, '') AS Categoria,
+         coalesce({strip('p_brand')}, '') AS Subcategoria,
+         coalesce({strip("CASE WHEN l_linestatus = 'F' THEN 'Atacado' END")}, '') AS tipo_de_venda,
+         row_number() OVER (PARTITION BY l_partkey ORDER BY {LINE_ORDER_DESC}) AS rn
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
+)
+SELECT p.sku, p.Produto, p.UN, p.Quantidade, p."Valor unitario",
+       coalesce(e.Fornecedores, '') AS Fornecedores, coalesce(e.Categoria, '') AS Categoria,
+       coalesce(e.Subcategoria, '') AS Subcategoria, coalesce(e.tipo_de_venda, '') AS tipo_de_venda
+FROM prod p LEFT JOIN (SELECT * FROM enr WHERE rn = 1) e ON p.sku = e.sku"""
+
+ORACLE["product_flatten"] = """
+SELECT CAST(p_partkey AS VARCHAR) AS sku, p_name AS Produto, 'UN' AS UN,
+       CAST(p_size AS BIGINT) AS Quantidade,
+       replace(CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR), '.', ',') AS "Valor unitario"
+FROM part"""
+
+
+def cost_join(src: str) -> str:
+    """J1/J2/B5 over a cleaned source CTE ``src``."""
+    fill = ", ".join(f"coalesce({strip(f'c.{c}')}, '') AS {c}"
+                     for c in ["Fornecedores", "Categoria", "Subcategoria", "tipo_de_venda"])
+    return f"""
+{src}_cost AS (
+  SELECT s.* EXCLUDE (sku), {strip('s.sku')} AS sku,
+         CAST(round(coalesce(c.custo_unitario, 0), 2) AS {D3}) AS custo_unitario,
+         coalesce(c.Estq, 0) AS Estq,
+         coalesce(s.titulo, c.titulo_bling) AS titulo_final,
+         {fill}
+  FROM {src} s LEFT JOIN cat c ON {strip('s.sku')} = c.sku
+),
+{src}_enriched AS (
+  SELECT * EXCLUDE (titulo, titulo_final), titulo_final AS titulo,
+         CAST(round(quantidade * custo_unitario, 3) AS {D3}) AS custo_total_produto
+  FROM {src}_cost
+)"""
+
+
+ORACLE["sales_with_cost"] = f"""
+WITH {CLEAN_LINES}, {CATALOG}, {cost_join('clean_lines')}
+SELECT {interchange(cols('numero_pedido, sku, rastreio, quantidade, titulo, custo_unitario:dec, custo_total_produto:dec, Estq, Fornecedores, Categoria, Subcategoria, tipo_de_venda'))}
+FROM clean_lines_enriched"""
+
+ORACLE["settlement_agg"] = f"""
+WITH {SETTLEMENT}
+SELECT {interchange(cols('id_pedido, preco_acordado:dec, cashback_cupom:dec, Comissão:dec'))} FROM settle"""
+
+
+def settle_join(src: str, out: str) -> str:
+    return f"""
+{out} AS (
+  SELECT s.* REPLACE (
+           CASE WHEN r.id_pedido IS NOT NULL THEN r.preco_acordado
+                ELSE CAST(round(s.valor_unitario_venda * s.quantidade, 3) AS {D3}) END AS valor_total_produto),
+         coalesce(r.cashback_cupom, CAST(0 AS {D3})) AS cashback_cupom,
+         coalesce(r."Comissão", CAST(0 AS {D3})) AS "Comissão"
+  FROM {src} s LEFT JOIN settle r ON s.numero_pedido = r.id_pedido
+)"""
+
+
+ORACLE["sales_with_settlement"] = (
+    f"WITH {CLEAN_LINES}, " + SETTLEMENT.replace(STORE + ",", "", 1) + f", {settle_join('clean_lines', 'settled')}\n"
+    f"SELECT {interchange(cols('numero_pedido, sku, rastreio, loja, quantidade, valor_total_produto:dec, cashback_cupom:dec, Comissão:dec'))} FROM settled")
+
+
+# ---------------------------------------------------------------------------
+# Full run (Entry A): sheets + feed -> clean -> catalogue -> settlement -> keep last
+# ---------------------------------------------------------------------------
+
+RAW_STATUS = ("CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'sent' "
+              "WHEN 'P' THEN 'custom_p' ELSE o_orderstatus END")
+RAW_LOGISTIC = ("CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'fulfillment' WHEN '2' THEN 'self_service' "
+                "WHEN '3' THEN 'xd_drop_off' WHEN '4' THEN 'drop_off' ELSE 'other' END")
+FEED_TIME = "printf('%02d:%02d:%02d', o_orderkey % 24, o_custkey % 60, (o_orderkey // 24) % 60)"
+
+FEED_LINES = f"""
+feed_lines AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS numero_pedido,
+         'ERP-' || CAST(o_orderkey AS VARCHAR) AS numero_pedido_erp,
+         CAST(o_custkey AS VARCHAR) AS numero_carrinho,
+         CAST(o_orderdate AS DATE) AS data_do_pedido,
+         {FEED_TIME} AS hora_do_pedido,
+         s.loja,
+         coalesce(CAST(l_partkey AS VARCHAR), 'N/A') AS sku,
+         CAST(0 AS {D3}) AS valor_total_produto,
+         CAST(coalesce(CAST(p_retailprice AS DECIMAL(18,2)), 0) AS {D3}) AS valor_unitario_venda,
+         coalesce(CAST(l_quantity AS BIGINT), 0) AS quantidade,
+         coalesce(p_name, 'N/A') AS titulo,
+         coalesce(s.c_mktsegment, '') AS id_canal_marketplace,
+         'BR' || CAST(o_orderkey AS VARCHAR) AS rastreio,
+         {RAW_STATUS} AS status,
+         {RAW_LOGISTIC} AS tipo_logistica,
+         l_orderkey, l_shipdate, l_linenumber, l_suppkey, l_quantity, l_extendedprice,
+         l_discount, l_tax, l_returnflag, l_linestatus
+  FROM orders JOIN store s ON o_custkey = s.c_custkey
+       LEFT JOIN (SELECT * FROM lineitem JOIN part ON l_partkey = p_partkey) li ON li.l_orderkey = o_orderkey
+)"""
+
+UNION_COLS = ("numero_pedido, numero_pedido_erp, numero_carrinho, data_do_pedido, hora_do_pedido, loja, sku, "
+              "valor_total_produto, valor_unitario_venda, quantidade, titulo, id_canal_marketplace, rastreio, "
+              "status, tipo_logistica, source_rank, origem_dados, " + LINE_ORDER)
+
+
+def _refresh_window(as_of):
+    from salesabc.functions.dates import refresh_window
+    return refresh_window(as_of, as_of.day != 1)
+
+
+def run_ctes(as_of) -> str:
+    """CTEs up to ``run_fact`` for a run on ``as_of`` (a sheet exists for every month)."""
+    lo, hi = _refresh_window(as_of)
+    key = as_of.strftime("%Y-%m")
+    month = "strftime(data_do_pedido, '%Y-%m')"
+    sheet_sel = (f"SELECT numero_pedido, numero_pedido_erp, numero_carrinho, data_do_pedido, '' AS hora_do_pedido, "
+                 f"loja, sku, valor_total_produto, valor_unitario_venda, quantidade, titulo, id_canal_marketplace, "
+                 f"rastreio, status, tipo_logistica, RANK AS source_rank, 'Excel' AS origem_dados, {LINE_ORDER} "
+                 f"FROM sales_lines")
+    parts = [sheet_sel.replace("RANK", "0") + f" WHERE {month} <> '{key}'"]
+    if as_of.day != 1:
+        parts.append(sheet_sel.replace("RANK", "1") +
+                     f" WHERE {month} = '{key}' AND (data_do_pedido < DATE '{lo}' OR data_do_pedido > DATE '{hi}')")
+    parts.append(f"SELECT {UNION_COLS.replace('source_rank, origem_dados', '2 AS source_rank, ' + chr(39) + 'Feed' + chr(39) + ' AS origem_dados')} "
+                 f"FROM feed_lines WHERE data_do_pedido BETWEEN DATE '{lo}' AND DATE '{hi}'")
+    union = "\nUNION ALL\n".join(parts)
+    def m2(c: str) -> str:
+        return f'CAST(round("{c}", 2) AS DECIMAL(18,2)) AS "{c}"'
+
+    return f"""{SALES_LINES}, {FEED_LINES}, {CATALOG}, {SETTLEMENT.replace(STORE + ",", "", 1)},
+run_union AS (
+{union}
+),
+{clean_cte('run_clean', 'run_union')},
+{cost_join('run_clean')},
+{settle_join('run_clean_enriched', 'run_settled')},
+run_dedup AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY numero_pedido, sku
+                                 ORDER BY source_rank DESC, {LINE_ORDER_DESC}) AS rn
+    FROM (SELECT * REPLACE (coalesce({strip('numero_pedido')}, '') AS numero_pedido,
+                            coalesce({strip('sku')}, '') AS sku) FROM run_settled)
+  ) WHERE rn = 1
+),
+run_fact AS (
+  SELECT numero_pedido, numero_pedido_erp, numero_carrinho, data_do_pedido, hora_do_pedido, loja, sku,
+         {m2('valor_total_produto')}, quantidade, titulo, id_canal_marketplace, rastreio, status, tipo_logistica,
+         {m2('custo_unitario')}, {m2('custo_total_produto')}, {m2('Comissão')},
+         coalesce({strip('Fornecedores')}, '') AS Fornecedores, Estq,
+         coalesce({strip('Categoria')}, '') AS Categoria, coalesce({strip('Subcategoria')}, '') AS Subcategoria,
+         coalesce({strip('tipo_de_venda')}, '') AS tipo_de_venda
+  FROM run_dedup
+)"""
+
+
+FACT_SPEC = ("numero_pedido, numero_pedido_erp, numero_carrinho, data_do_pedido:date, hora_do_pedido, loja, sku, "
+             "valor_total_produto:dec, quantidade, titulo, id_canal_marketplace, rastreio, status, tipo_logistica, "
+             "custo_unitario:dec, custo_total_produto:dec, Comissão:dec, Fornecedores, Estq, Categoria, "
+             "Subcategoria, tipo_de_venda")
+
+
+def _as_of(day: int):
+    import datetime as dt
+    return dt.date(1998, 3, day)
+
+
+AS_OF, AS_OF_DAY1 = _as_of(15), _as_of(1)
+UNION_SPEC = ("numero_pedido, sku, data_do_pedido:date, hora_do_pedido, loja, quantidade, rastreio, source_rank, "
+              "origem_dados")
+
+ORACLE["rolling_refresh"] = f"WITH {run_ctes(AS_OF)}\nSELECT {interchange(cols(UNION_SPEC))} FROM run_union"
+ORACLE["rolling_refresh_day1"] = f"WITH {run_ctes(AS_OF_DAY1)}\nSELECT {interchange(cols(UNION_SPEC))} FROM run_union"
+ORACLE["dedup_last"] = (f"WITH {run_ctes(AS_OF)}\nSELECT {interchange(cols('numero_pedido, sku, data_do_pedido:date, hora_do_pedido, rastreio, source_rank, origem_dados, valor_total_produto:dec'))} FROM run_dedup")
+ORACLE["sales_fact"] = f"WITH {run_ctes(AS_OF)}\nSELECT {interchange(cols(FACT_SPEC))} FROM run_fact"
+ORACLE["month_slice"] = (
+    f"WITH {run_ctes(AS_OF)}\nSELECT {interchange(cols('numero_pedido, sku, data_do_pedido:date, hora_do_pedido, rastreio, quantidade, custo_unitario:dec, custo_total_produto:dec, source_rank'))} "
+    f"FROM run_clean_enriched WHERE data_do_pedido >= DATE '1998-03-01' AND data_do_pedido < DATE '1998-04-01'")
+ORACLE["pareto_from_fact"] = pareto_sql(run_ctes(AS_OF), "run_fact") + pareto_select()

@@ -22,9 +22,9 @@ from salesabc import config
 from salesabc.config import Profile
 from salesabc.functions.dates import refresh_window
 from salesabc.operators.catalog import join_catalog
-from salesabc.operators.clean import clean_sales
-from salesabc.operators.consolidate import (dedup_sales, fact_table, refresh_filter, tag_source,
-                                            union_sources)
+from salesabc.operators.clean import clean_sales, conform
+from salesabc.operators.consolidate import (WORK_COLUMNS, dedup_sales, fact_table, refresh_filter,
+                                            tag_source, union_sources)
 from salesabc.operators.settlement import apply_settlement
 from salesabc.sources.order_feed import feed_rows
 
@@ -50,17 +50,22 @@ class RunStages:
 
 
 def run_sales(inputs: RunInputs, as_of: dt.date, profile: Profile = config.DEFAULT_PROFILE) -> RunStages:
+    def prepared(df: DataFrame) -> DataFrame:
+        # Every source gets the same typed columns (missing ones with their
+        # defaults) before the union, like the conform step of each loader.
+        return conform(clean_sales(df, profile), WORK_COLUMNS, keep_extra=True)
+
     has_sheet = inputs.current_sheet is not None
     lo, hi = refresh_window(as_of, has_sheet)
     sources: dict[str, DataFrame] = {}
     if inputs.closed_sheets is not None:
-        sources["closed_sheets"] = tag_source(clean_sales(inputs.closed_sheets, profile), 0, "Excel")
+        sources["closed_sheets"] = tag_source(prepared(inputs.closed_sheets), 0, "Excel")
     if has_sheet and as_of.day != 1:
-        cur = clean_sales(inputs.current_sheet, profile)
+        cur = prepared(inputs.current_sheet)
         sources["current_sheet_loaded"] = cur
         sources["current_sheet"] = tag_source(refresh_filter(cur, lo, hi), 1, "Excel")
     if inputs.feed_pages is not None:
-        sources["feed"] = tag_source(clean_sales(feed_rows(inputs.feed_pages, lo, hi), profile), 2, "Feed")
+        sources["feed"] = tag_source(prepared(feed_rows(inputs.feed_pages, lo, hi)), 2, "Feed")
     parts = [v for k, v in sources.items() if k != "current_sheet_loaded"]
     union = union_sources(parts)
     enriched = join_catalog(union, inputs.catalog) if inputs.catalog is not None else union
