@@ -43,8 +43,9 @@ def month_key(d: Column) -> Column:
 def month_label(d: Column) -> Column:
     """'MM/<month name>/YYYY' with the fixed Portuguese names."""
     names = F.array(*[F.lit(n) for n in config.MONTH_NAMES_PT])
-    return F.concat_ws("/", F.date_format(d, "MM"), F.element_at(names, F.month(d)),
-                       F.date_format(d, "yyyy"))
+    label = F.concat_ws("/", F.date_format(d, "MM"), F.element_at(names, F.month(d)),
+                        F.date_format(d, "yyyy"))
+    return F.when(d.isNotNull(), label)
 
 
 def refresh_window(as_of: dt.date, has_current_sheet: bool) -> tuple[dt.date, dt.date]:

@@ -497,8 +497,18 @@ def _refresh_window(as_of):
     return refresh_window(as_of, as_of.day != 1)
 
 
-def run_ctes(as_of) -> str:
-    """CTEs up to ``run_fact`` for a run on ``as_of`` (a sheet exists for every month)."""
+SHARED_RUN = f"{SALES_LINES}, {FEED_LINES}, {CATALOG}, {SETTLEMENT.replace(STORE + ',', '', 1)}"
+
+
+def run_ctes(as_of, prefix: str = "run", shared: bool = True) -> str:
+    """CTEs up to ``<prefix>_fact`` for a run on ``as_of`` (a sheet exists for every month)."""
+    body = _run_body(as_of)
+    if prefix != "run":
+        body = body.replace("run_", prefix + "_")
+    return (SHARED_RUN + ",\n" if shared else "") + body
+
+
+def _run_body(as_of) -> str:
     lo, hi = _refresh_window(as_of)
     key = as_of.strftime("%Y-%m")
     month = "strftime(data_do_pedido, '%Y-%m')"
@@ -516,8 +526,7 @@ def run_ctes(as_of) -> str:
     def m2(c: str) -> str:
         return f'CAST(round("{c}", 2) AS DECIMAL(18,2)) AS "{c}"'
 
-    return f"""{SALES_LINES}, {FEED_LINES}, {CATALOG}, {SETTLEMENT.replace(STORE + ",", "", 1)},
-run_union AS (
+    return f"""run_union AS (
 {union}
 ),
 {clean_cte('run_clean', 'run_union')},
@@ -565,3 +574,136 @@ ORACLE["month_slice"] = (
     f"WITH {run_ctes(AS_OF)}\nSELECT {interchange(cols('numero_pedido, sku, data_do_pedido:date, hora_do_pedido, rastreio, quantidade, custo_unitario:dec, custo_total_produto:dec, source_rank'))} "
     f"FROM run_clean_enriched WHERE data_do_pedido >= DATE '1998-03-01' AND data_do_pedido < DATE '1998-04-01'")
 ORACLE["pareto_from_fact"] = pareto_sql(run_ctes(AS_OF), "run_fact") + pareto_select()
+
+
+# ---------------------------------------------------------------------------
+# Sources and scalar functions
+# ---------------------------------------------------------------------------
+
+ORACLE["order_items_flatten"] = f"""
+WITH {STORE}, {FEED_LINES}
+SELECT {interchange(cols('numero_pedido, data_do_pedido:date, hora_do_pedido, loja, sku, status, valor_unitario_venda:dec, quantidade, numero_pedido_erp, numero_carrinho, titulo, id_canal_marketplace, rastreio, tipo_logistica'))}
+FROM feed_lines"""
+
+ORACLE["order_sample"] = f"""
+WITH {STORE}, {FEED_LINES},
+first_orders AS (
+  SELECT o_orderkey FROM orders
+  WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1998-03-01' AND DATE '1998-03-15'
+  ORDER BY strftime(o_orderdate, '%Y-%m-%d') || 'T' || {FEED_TIME} || '.000-03:00', CAST(o_orderkey AS VARCHAR)
+  LIMIT 10
+)
+SELECT {interchange(cols('numero_pedido, data_do_pedido:date, hora_do_pedido, loja, status, numero_pedido_erp, id_canal_marketplace, rastreio, tipo_logistica, numero_carrinho, sku, titulo, valor_unitario_venda:dec, quantidade'))}
+FROM feed_lines WHERE numero_pedido IN (SELECT CAST(o_orderkey AS VARCHAR) FROM first_orders)"""
+
+ORACLE["page_completeness"] = """
+WITH t AS (SELECT count(*) AS total, count(DISTINCT o_orderkey // 50) AS pages FROM orders)
+SELECT CAST(total AS BIGINT) AS total, CAST(50 AS BIGINT) AS tamanho_pagina,
+       CAST(ceil(total / 50.0) AS BIGINT) AS paginas_esperadas, CAST(pages AS BIGINT) AS paginas_recebidas,
+       CAST(ceil(total / 50.0) AS BIGINT) - pages AS paginas_faltantes, CAST(total AS BIGINT) AS pedidos_recebidos,
+       (CAST(ceil(total / 50.0) AS BIGINT) = pages) AS completo
+FROM t"""
+
+ORACLE["store_prefix_filter"] = f"""
+WITH {SALES_LINES},
+g AS (SELECT unnest({group_list('loja')}) AS grupo, quantidade, valor_total_produto FROM sales_lines)
+SELECT grupo, count(*) AS linhas, CAST(sum(quantidade) AS BIGINT) AS quantidade,
+       CAST(CAST(sum(valor_total_produto) AS DECIMAL(18,3)) AS DOUBLE) AS valor_total_produto
+FROM g GROUP BY grupo"""
+
+ORACLE["safe_decimal_parse"] = f"""
+WITH t AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS numero_pedido, CAST(l_linenumber AS BIGINT) AS linha,
+         replace(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR), '.', ',') AS t_virgula,
+         CAST(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 10000 AS DECIMAL(20,2)) AS VARCHAR) AS t_grande,
+         l_returnflag AS t_lixo,
+         CASE WHEN l_linenumber <> 1 THEN CAST(CAST(l_discount AS DECIMAL(18,2)) AS VARCHAR) END AS t_nulo,
+         CAST(l_quantity AS VARCHAR) AS t_qtd
+  FROM lineitem
+),
+p AS (
+  SELECT numero_pedido, linha, {parse_dec('t_virgula')} AS v_virgula, {parse_dec('t_grande')} AS v_grande,
+         {parse_dec('t_lixo')} AS v_lixo, {parse_dec('t_nulo', 2)} AS v_nulo, {parse_long('t_qtd')} AS v_qtd
+  FROM t
+)
+SELECT numero_pedido, linha, CAST(v_virgula AS DOUBLE) AS v_virgula, CAST(v_grande AS DOUBLE) AS v_grande,
+       CAST(v_lixo AS DOUBLE) AS v_lixo, CAST(v_nulo AS DOUBLE) AS v_nulo, v_qtd FROM p"""
+
+
+def _sheet_date(t: str) -> str:
+    fmts = ["%d/%m/%Y %H:%M:%S", "%d/%m/%Y", "%Y-%m-%d", "%Y-%m-%d %H:%M:%S"]
+    tt = strip(t)
+    return "CAST(coalesce(" + ", ".join(f"try_strptime({tt}, '{f}')" for f in fmts) + ") AS DATE)"
+
+
+ORACLE["date_parse"] = f"""
+WITH t AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS numero_pedido,
+         CASE substr(o_orderpriority, 1, 1)
+              WHEN '1' THEN strftime(o_orderdate, '%d/%m/%Y %H:%M:%S')
+              WHEN '2' THEN strftime(o_orderdate, '%d/%m/%Y')
+              WHEN '3' THEN strftime(o_orderdate, '%Y-%m-%d')
+              WHEN '4' THEN strftime(o_orderdate, '%Y-%m-%d') || 'T00:00:00'
+              ELSE 'x' || CAST(o_orderkey AS VARCHAR) END AS texto
+  FROM orders
+),
+p AS (SELECT numero_pedido, texto, {_sheet_date('texto')} AS data FROM t)
+SELECT numero_pedido, texto, strftime(data, '%Y-%m-%d') AS data,
+       strftime(data - INTERVAL 1 DAY, '%Y-%m-%d') AS dia_anterior,
+       strftime(date_trunc('month', data), '%Y-%m-%d') AS inicio_mes,
+       strftime(last_day(data), '%Y-%m-%d') AS fim_mes,
+       CAST(month(data) AS BIGINT) AS mes, CAST(year(data) AS BIGINT) AS ano,
+       CASE WHEN data IS NULL THEN NULL ELSE {month_label('data')} END AS mes_referencia
+FROM p"""
+
+
+def md_cell(c: str) -> str:
+    return f"replace(replace(replace({c}, chr(10), ' '), chr(13), ' '), '|', '-')"
+
+
+ORACLE["markdown_rows"] = f"""
+SELECT doc_id, {md_cell('text')} AS texto_limpo,
+       '| ' || concat_ws(' | ', CAST(doc_id AS VARCHAR), coalesce({md_cell('lang')}, ''),
+                          coalesce({md_cell('source')}, ''), coalesce({md_cell('text')}, '')) || ' |' AS linha
+FROM documents"""
+
+
+# ---------------------------------------------------------------------------
+# File round trips and sinks
+# ---------------------------------------------------------------------------
+
+ORACLE["sheet_union"] = f"""
+WITH {CLEAN_LINES}
+SELECT {interchange(cols('numero_pedido, sku, data_do_pedido:date, loja, valor_total_produto:dec, valor_unitario_venda:dec, quantidade, titulo, status, tipo_logistica, mes, origem_dados'))}
+FROM (SELECT *, strftime(data_do_pedido, '%Y-%m') AS mes, 'Excel' AS origem_dados FROM clean_lines)
+WHERE mes <> '1998-03'"""
+
+ORACLE["catalog_sheet"] = ORACLE["catalog_agg"]
+ORACLE["settlement_files"] = ORACLE["settlement_agg"]
+ORACLE["markdown_roundtrip"] = ORACLE["sales_fact"]
+ORACLE["fact_full_replace"] = ORACLE["sales_fact"]
+
+ORACLE["month_replace"] = f"""
+WITH {run_ctes(AS_OF)}, {run_ctes(_as_of(31), prefix='rerun', shared=False)},
+merged AS (
+  SELECT * FROM run_fact WHERE NOT (data_do_pedido >= DATE '1998-03-01' AND data_do_pedido < DATE '1998-04-01')
+  UNION ALL
+  SELECT * FROM rerun_fact WHERE data_do_pedido >= DATE '1998-03-01' AND data_do_pedido < DATE '1998-04-01'
+)
+SELECT {interchange(cols(FACT_SPEC))} FROM merged"""
+
+ORACLE["load_quality"] = f"""
+WITH {run_ctes(AS_OF)}
+SELECT * FROM (VALUES
+  ('fontes_planilhas_fechadas', (SELECT count(*) FROM run_union WHERE source_rank = 0)),
+  ('planilha_mes_carregada', (SELECT count(*) FROM sales_lines WHERE strftime(data_do_pedido, '%Y-%m') = '1998-03')),
+  ('planilha_mes_mantida', (SELECT count(*) FROM run_union WHERE source_rank = 1)),
+  ('feed_janela', (SELECT count(*) FROM run_union WHERE source_rank = 2)),
+  ('uniao', (SELECT count(*) FROM run_union)),
+  ('datas_nulas', (SELECT count(*) FROM run_union WHERE data_do_pedido IS NULL)),
+  ('sem_catalogo', (SELECT count(*) FROM run_clean_enriched e WHERE NOT EXISTS (SELECT 1 FROM cat c WHERE c.sku = e.sku))),
+  ('liquidados', (SELECT count(*) FROM run_settled s WHERE EXISTS (SELECT 1 FROM settle r WHERE r.id_pedido = s.numero_pedido))),
+  ('fato', (SELECT count(*) FROM run_fact)),
+  ('duplicatas_removidas', (SELECT count(*) FROM run_settled) - (SELECT count(*) FROM run_fact)),
+  ('colunas_obrigatorias_faltantes', 0)
+) AS t(etapa, linhas)"""

@@ -16,13 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesabc import config
+from salesabc import config, session
 from salesabc.functions import business, dates, numeric
 from salesabc.functions import text as text_fn
-from salesabc.operators import catalog, clean, consolidate, pareto, settlement
+from salesabc.operators import catalog, clean, consolidate, pareto, quality, settlement
 from salesabc.plans import sales_run
 from salesabc.sinks import writers
-from salesabc.sources import catalog_sources, order_feed
+from salesabc.sources import catalog_sources, files, order_feed
 from salesabc.sources import testviews as tv
 
 PROFILE = config.TEST_PROFILE
@@ -311,3 +311,113 @@ def markdown_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                            F.concat_ws(" | ", *[F.coalesce(text_fn.markdown_cell(F.col(c).cast("string")), F.lit(""))
                                                 for c in docs.columns]),
                            F.lit(" |")).alias("linha"))
+
+
+# --- File round trips and sinks ------------------------------------------------------------
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    return session.scratch_path(spark, name)
+
+
+@query
+def sheet_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly sheets landed as CSV (dates as dd/MM/yyyy HH:mm:ss, comma decimals),
+    read back, closed months selected by folder, cleaned (S1, S2)."""
+    lines = tv.sales_lines(spark, sf_dir)
+    text = lines.select(
+        *[F.col(c) for c in ["numero_pedido", "numero_pedido_erp", "numero_carrinho", "loja", "sku", "titulo",
+                             "id_canal_marketplace", "rastreio", "status", "tipo_logistica"]],
+        F.date_format("data_do_pedido", "dd/MM/yyyy HH:mm:ss").alias("data_do_pedido"),
+        F.replace(F.col("valor_total_produto").cast("string"), F.lit("."), F.lit(",")).alias("valor_total_produto"),
+        F.replace(F.col("valor_unitario_venda").cast("string"), F.lit("."), F.lit(",")).alias("valor_unitario_venda"),
+        F.col("quantidade").cast("string").alias("quantidade"),
+        F.date_format("data_do_pedido", "yyyy-MM").alias("mes"))
+    base = _scratch(spark, "sheets")
+    files.write_month_sheets(text, base)
+    closed, _ = files.select_sheets(files.read_sheets(spark, base), AS_OF)
+    out = clean.clean_sales(closed, PROFILE)
+    return interchange(out.select("numero_pedido", "sku", "data_do_pedido", "loja", "valor_total_produto",
+                                  "valor_unitario_venda", "quantidade", "titulo", "status", "tipo_logistica",
+                                  "mes", "origem_dados"))
+
+
+@query
+def catalog_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published sheet (',' CSV) -> S7 -> catalogue CSV (';', K1) -> S6 -> A1.
+
+    Each write sorts by the ingest order so file order carries row order."""
+    rows = tv.catalog_rows(spark, sf_dir)
+    sheet = rows.orderBy("ingest_order").select(
+        F.col("Código").alias("Codigo"), "Produto", "Quantidade", "Valor unitario", "Fornecedores",
+        "Categoria", "Subcategoria", "Tipo de Venda")
+    sheet_path, csv_path = _scratch(spark, "catalog-sheet"), _scratch(spark, "catalog-csv")
+    sheet.write.mode("overwrite").option("header", True).csv(sheet_path)
+    published = catalog_sources.read_catalog_sheet(spark, sheet_path)
+    writers.write_catalog_csv(published.orderBy("ingest_order"), csv_path)
+    return interchange(catalog_sources.load_catalog(spark, csv_path))
+
+
+@query
+def settlement_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report members landed per archive plus system-folder junk and a
+    non-report file; only real members are read (S9, P13)."""
+    base = _scratch(spark, "settlement")
+    rows = tv.settlement_rows(spark, sf_dir)
+    files.write_settlement_reports(rows, base)
+    junk = rows.limit(5).withColumn("preco_acordado", F.lit(1).cast(config.MONEY))
+    files.write_settlement_reports(junk, base + "/__MACOSX")
+    junk.select(F.col("id_pedido").alias("value")).write.mode("overwrite").text(base + "/notas")
+    reports = files.read_settlement_reports(spark, base)
+    return interchange(settlement.aggregate_settlement(reports))
+
+
+def _fact_from_markdown(table: DataFrame) -> DataFrame:
+    typed = []
+    for f in config.FACT_SCHEMA.fields:
+        c = F.col(f"`{f.name}`") if f.name in table.columns else F.lit(None).cast("string")
+        if isinstance(f.dataType, T.DecimalType):
+            typed.append(numeric.parse_decimal(c, 2).alias(f.name))
+        elif isinstance(f.dataType, T.LongType):
+            typed.append(numeric.parse_long(c).alias(f.name))
+        elif isinstance(f.dataType, T.DateType):
+            typed.append(dates.parse_sheet_date(c).alias(f.name))
+        else:
+            typed.append(F.coalesce(c, F.lit("")).alias(f.name))
+    return table.select(*typed)
+
+
+@query
+def markdown_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact -> Markdown table (K7) -> read back (S10, P7) -> typed fact."""
+    path = _scratch(spark, "markdown")
+    writers.write_markdown(_run(spark, sf_dir, AS_OF).fact, path)
+    return interchange(_fact_from_markdown(files.read_markdown_table(spark, path)))
+
+
+@query
+def fact_full_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full replace leaves exactly the new fact, whatever was there (K2)."""
+    path = _scratch(spark, "fact")
+    fact = _run(spark, sf_dir, AS_OF).fact
+    writers.write_fact_full(consolidate.month_filter(fact, 1998, 2), path)
+    writers.write_fact_full(fact, path)
+    return interchange(spark.read.parquet(path))
+
+
+@query
+def month_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replace one month of a month-partitioned fact with a re-run (K3, K5):
+    other months stay as first written."""
+    path = _scratch(spark, "fact-months")
+    writers.write_fact_months(_run(spark, sf_dir, AS_OF).fact, path)
+    rerun = _run(spark, sf_dir, dt.date(1998, 3, 31)).fact
+    writers.write_fact_months(consolidate.month_filter(rerun, 1998, 3), path)
+    return interchange(spark.read.parquet(path).select(*[F.col(f"`{c}`") for c in config.FACT_COLUMNS]))
+
+
+@query
+def load_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    st = _run(spark, sf_dir, AS_OF)
+    cat = _catalog(spark, sf_dir).select("sku")
+    settled_ids = _settlement(spark, sf_dir).select(F.col("id_pedido").alias("numero_pedido"))
+    return quality.load_report(st, cat, settled_ids, missing_columns=len(pareto.missing_required(st.fact)))
