@@ -68,3 +68,40 @@ def abc_class(running: Column, a_max: str = "80.000", b_max: str = "95.000") ->
     return (F.when(running <= F.lit(a_max).cast(_dec(18, 3)), "A")
             .when(running <= F.lit(b_max).cast(_dec(18, 3)), "B")
             .otherwise("C"))
+
+
+# Bounds under which the thousandths formula cannot overflow a long:
+# |v| * 200000 + |t| and 2|t| stay below 2^63.
+_V_SAFE = 20_000_000_000_000
+_T_SAFE = 4_000_000_000_000_000_000
+
+
+def to_milli(c: Column) -> Column:
+    """Decimal with 3 places -> exact integer thousandths (long)."""
+    return (c * 1000).cast(T.LongType())
+
+
+def from_milli(c: Column) -> Column:
+    """Integer thousandths -> decimal(18,3)."""
+    return (c.cast(_dec(18, 0)) * F.lit(0.001).cast(_dec(3, 3))).cast(_dec(18, 3))
+
+
+def share_milli(v_milli: Column, t_milli: Column) -> Column:
+    """``share_pct`` on integer thousandths, returning thousandths of a percent.
+
+    Long arithmetic (fixed width, code-generated) for every realistic
+    value; rows beyond the overflow bounds take the exact decimal path.
+    """
+    av, at = F.abs(v_milli), F.abs(t_milli)
+    q = int_div(av * 200000 + at, at * 2)
+    fast = F.when((v_milli < 0) != (t_milli < 0), -q).otherwise(q)
+    slow = to_milli(share_pct(v_milli.cast(_dec(38, 0)) * F.lit(0.001).cast(_dec(3, 3)),
+                              t_milli.cast(_dec(38, 0)) * F.lit(0.001).cast(_dec(3, 3))))
+    return (F.when(t_milli == 0, F.lit(0).cast("long"))
+             .when((av < _V_SAFE) & (at < _T_SAFE), fast)
+             .otherwise(slow))
+
+
+def abc_class_milli(running_milli: Column, a_max: str = "80.000", b_max: str = "95.000") -> Column:
+    a, b = round(float(a_max) * 1000), round(float(b_max) * 1000)
+    return F.when(running_milli <= a, "A").when(running_milli <= b, "B").otherwise("C")

@@ -20,6 +20,11 @@ SESSION_DEFAULTS = {
     # otherwise the planner keeps the sort-merge join.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Window partitions (one Pareto group-month, one range slice) are kept
+    # in memory up to this many rows before spilling; the default 4096
+    # spills every month of the overall group.
+    "spark.sql.windowExec.buffer.in.memory.threshold": "262144",
+    "spark.sql.windowExec.buffer.spill.threshold": "1048576",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
