@@ -95,7 +95,21 @@ def flatten_orders(orders: DataFrame) -> DataFrame:
 
 
 def feed_rows(pages: DataFrame, lo: dt.date | None = None, hi: dt.date | None = None) -> DataFrame:
-    """Flattened feed rows for the inclusive day window [lo, hi]."""
+    """Flattened feed rows for the inclusive day window [lo, hi].
+
+    Orders outside the window are dropped inside each page (array filter)
+    before any explode, so only the window's items are materialised.
+    """
+    if lo is not None or hi is not None:
+        def in_window(o):
+            d = iso_wall_date(o["dateCreated"])
+            cond = F.lit(True)
+            if lo is not None:
+                cond = cond & (d >= F.lit(lo))
+            if hi is not None:
+                cond = cond & (d <= F.lit(hi))
+            return F.coalesce(cond, F.lit(False))
+        pages = pages.withColumn("orders", F.filter("orders", in_window))
     rows = flatten_orders(orders_of(pages))
     if lo is not None:
         rows = rows.filter(F.col("data_do_pedido") >= F.lit(lo))
