@@ -303,14 +303,10 @@ def date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def markdown_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7 cleaning on whole document texts, and the Markdown row of each document."""
     docs = tv.table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
-    _, _, rows = writers.markdown_lines(docs)
     return docs.select("doc_id", text_fn.markdown_cell(F.col("text")).alias("texto_limpo"),
-                       rows.columns and F.concat(
-                           F.lit("| "),
-                           F.concat_ws(" | ", *[F.coalesce(text_fn.markdown_cell(F.col(c).cast("string")), F.lit(""))
-                                                for c in docs.columns]),
-                           F.lit(" |")).alias("linha"))
+                       writers.markdown_row(docs).alias("linha"))
 
 
 # --- File round trips and sinks ------------------------------------------------------------
