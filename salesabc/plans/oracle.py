@@ -157,6 +157,7 @@ def milli_text(m: str) -> str:
 ORACLE: dict[str, str] = {}
 
 ORACLE["pareto_abc"] = pareto_sql(SALES_LINES, "sales_lines") + pareto_select()
+ORACLE["pareto_abc_range"] = ORACLE["pareto_abc"]
 
 ORACLE["pareto_table_text"] = pareto_sql(SALES_LINES, "sales_lines") + f"""
 SELECT 'pareto_' || {slug('grupo')} AS tabela, grupo, strftime(mes_data, '%Y-%m') AS mes,
