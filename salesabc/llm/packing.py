@@ -71,11 +71,14 @@ def encode_texts(texts: pa.Array, ranks_path: str, pattern: str) -> tuple[np.nda
     offsets = split.offsets.to_numpy().astype(np.int64)
     flat, offsets = split.flatten(), offsets - offsets[0]
     coded = flat.dictionary_encode()
-    words = coded.dictionary.to_pylist()
+    words = coded.dictionary
     index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    pool = np.asarray(encoding.encode_ordinary("".join(" " + w for w in words if w)), dtype=np.uint32)
+    size = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+    some = words.filter(pa.array(size > 0))
+    joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array([0, len(some)], pa.int64()), some), " ")[0].as_py()
+    pool = np.asarray(encoding.encode_ordinary(" " + joined) if joined else [], dtype=np.uint32)
     ends = np.cumsum(sizes[pool])
-    word_ends = np.cumsum([len(w.encode()) + 1 if w else 0 for w in words]) if words else np.zeros(0, np.int64)
+    word_ends = np.cumsum(size + (size > 0))
     tok_end = np.searchsorted(ends, word_ends, side="right")
     tok_start = np.concatenate(([0], tok_end[:-1])) if len(tok_end) else tok_end
     start, count = tok_start[index], (tok_end - tok_start)[index]
@@ -119,7 +122,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def pieces(batches):
         for batch in batches:
             keys, texts = batch.column(0), text_array(batch.column(1))
-            step = 2000
+            step = 4000
             for lo in range(0, len(texts), step):
                 ids, offsets = encode_texts(texts.slice(lo, step), ranks, pattern)
                 row, piece, start, length, crc, kept = [], [], [], [], [], []
