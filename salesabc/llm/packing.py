@@ -75,7 +75,7 @@ def encode_texts(texts: pa.Array, ranks_path: str, pattern: str) -> tuple[np.nda
     index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     size = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
     some = words.filter(pa.array(size > 0))
-    joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array([0, len(some)], pa.int64()), some), " ")[0].as_py()
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), some), pa.scalar(" ", some.type))[0].as_py()
     pool = np.asarray(encoding.encode_ordinary(" " + joined) if joined else [], dtype=np.uint32)
     ends = np.cumsum(sizes[pool])
     word_ends = np.cumsum(size + (size > 0))

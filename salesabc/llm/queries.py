@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing
+from . import packing, simhash_dup
 from .common import table
 
 
@@ -12,5 +12,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_best_fit_packing": op1_best_fit_packing}
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_best_fit_packing": op1_best_fit_packing,
+           "op10_simhash_near_dedup": op10_simhash_near_dedup}
 ORACLE: dict[str, str] = {}
