@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, simhash_dup
+from . import packing, simhash_dup, toxicity
 from .common import table
 
 
@@ -12,10 +13,17 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = F.crc32(F.col("doc_id").cast("string")) % 3
+    scored = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder != 1)
+    return scored.select("doc_id", (remainder == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {"op1_best_fit_packing": op1_best_fit_packing,
+           "op8_toxicity": op8_toxicity,
            "op10_simhash_near_dedup": op10_simhash_near_dedup}
 ORACLE: dict[str, str] = {}
