@@ -151,7 +151,10 @@ def text_hits(docs: DataFrame, id_col: str, text_col: str, terms: list[str], kee
 
 def votes(n_seed: int) -> Column:
     """The firing pattern as bits of one integer: bit 0 fixed lexicon, 1-5 mined lexicons, then four patterns."""
-    mined = [F.exists("found", lambda t, v=v: (t >= n_seed) & ((t - n_seed) % MINED_VOTERS == v)) for v in range(MINED_VOTERS)]
+    def mined_fires(v):
+        return F.exists("found", lambda t: (t >= n_seed) & ((t - n_seed) % MINED_VOTERS == v))
+
+    mined = [mined_fires(v) for v in range(MINED_VOTERS)]
     fires = [F.exists("found", lambda t: t < n_seed), *mined, F.col("hits") >= 2, F.col("hits") * 200 > F.col("words"),
              F.col("upper") > 0.4, F.col("symbols") > 0.15]
     out = F.lit(0)
