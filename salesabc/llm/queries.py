@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, simhash_dup, toxicity
+from . import fingerprint, packing, simhash_dup, toxicity
 from .common import table
 
 
@@ -13,6 +13,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprint_pairs(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     remainder = F.crc32(F.col("doc_id").cast("string")) % 3
     scored = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder != 1)
@@ -24,6 +28,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_best_fit_packing": op1_best_fit_packing,
+           "op4_document_fingerprints": op4_document_fingerprints,
            "op8_toxicity": op8_toxicity,
            "op10_simhash_near_dedup": op10_simhash_near_dedup}
 ORACLE: dict[str, str] = {}
