@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, packing, simhash_dup, toxicity
+from . import fingerprint, packing, simhash_dup, toxicity, warc
 from .common import table
 
 
@@ -13,6 +13,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_pairs(table(spark, sf_dir, "documents"))
 
@@ -28,6 +32,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_best_fit_packing": op1_best_fit_packing,
+           "op2_warc": op2_warc,
            "op4_document_fingerprints": op4_document_fingerprints,
            "op8_toxicity": op8_toxicity,
            "op10_simhash_near_dedup": op10_simhash_near_dedup}
