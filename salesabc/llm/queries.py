@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, packing, simhash_dup, toxicity, warc
+from . import decontam, fingerprint, line_dedup, packing, simhash_dup, toxicity, unit_dedup, warc
 from .common import table
 
 
@@ -21,12 +21,24 @@ def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_pairs(table(spark, sf_dir, "documents"))
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "removed_lines")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     remainder = F.crc32(F.col("doc_id").cast("string")) % 3
     scored = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder != 1)
     return scored.select("doc_id", (remainder == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unit_dedup.repeated_units(table(spark, sf_dir, "documents")).withColumnsRenamed({"kept_id": "kept_doc_id"})
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -34,6 +46,10 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"op1_best_fit_packing": op1_best_fit_packing,
            "op2_warc": op2_warc,
            "op4_document_fingerprints": op4_document_fingerprints,
+           "op5_benchmark_decontamination": op5_benchmark_decontamination,
+           "op7_line_dedup": op7_line_dedup,
            "op8_toxicity": op8_toxicity,
+           "op9_substring_dedup": op9_substring_dedup,
            "op10_simhash_near_dedup": op10_simhash_near_dedup}
-ORACLE: dict[str, str] = {}
+#: Queries that SQL can express; the tests hold the others against brute-force versions.
+ORACLE: dict[str, str] = {"op7_line_dedup": line_dedup.ORACLE}
