@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, fingerprint, line_dedup, packing, simhash_dup, toxicity, unit_dedup, warc
+from . import decontam, fingerprint, line_dedup, lm, packing, simhash_dup, toxicity, unit_dedup, warc
 from .common import table
 
 
@@ -25,6 +25,12 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = F.crc32(F.col("doc_id").cast("string")) % 10
+    scored = lm.score_texts(table(spark, sf_dir, "documents"), remainder != 0)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "removed_lines")
 
@@ -47,6 +53,7 @@ QUERIES = {"op1_best_fit_packing": op1_best_fit_packing,
            "op2_warc": op2_warc,
            "op4_document_fingerprints": op4_document_fingerprints,
            "op5_benchmark_decontamination": op5_benchmark_decontamination,
+           "op6_lm_scoring": op6_lm_scoring,
            "op7_line_dedup": op7_line_dedup,
            "op8_toxicity": op8_toxicity,
            "op9_substring_dedup": op9_substring_dedup,
