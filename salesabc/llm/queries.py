@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, fingerprint, line_dedup, lm, packing, simhash_dup, toxicity, unit_dedup, warc
+from . import cotraining, decontam, fingerprint, line_dedup, lm, packing, simhash_dup, toxicity, unit_dedup, warc
 from .common import table
 
 
@@ -17,6 +17,12 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = F.crc32(F.col("doc_id").cast("string")) % 3
+    scored = cotraining.co_train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder != 1)
+    return scored.withColumn("held_out", remainder == 1).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_pairs(table(spark, sf_dir, "documents"))
 
@@ -51,6 +57,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op1_best_fit_packing": op1_best_fit_packing,
            "op2_warc": op2_warc,
+           "op3_quality_classifier": op3_quality_classifier,
            "op4_document_fingerprints": op4_document_fingerprints,
            "op5_benchmark_decontamination": op5_benchmark_decontamination,
            "op6_lm_scoring": op6_lm_scoring,
