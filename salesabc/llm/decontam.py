@@ -128,19 +128,20 @@ class _Block:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-                 item_text_col: str = "text", min_match: int = MIN_MATCH, coverage: float = COVERAGE, block_words: int = BLOCK_WORDS) -> DataFrame:
+                 item_text_col: str = "text", min_match: int = MIN_MATCH, coverage: float = COVERAGE, block_words: int = BLOCK_WORDS, carry: tuple[str, ...] = ()) -> DataFrame:
     """Documents that hold at least ``coverage`` of an item's words in tiles.
 
-    Rows: document id, item id, item_words, matched_words, coverage, and tiles
+    Rows: document id, the ``carry`` columns, item id, item_words, matched_words, coverage, and tiles
     (place in the document, place in the item, words; counted in words).
     """
     tests = benchmark.select(F.col(item_col).cast("long").alias("item"), F.coalesce(F.col(item_text_col).cast("string"), F.lit("")).alias("text"))
     total = tests.agg(F.sum(F.length("text") / 2 + 1)).first()[0] or 0  # at most so many words
     blocks = int(total // block_words) + 1
     out = None
-    kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"`{id_col}` {kind}, item_id long, item_words long, matched_words long, coverage double, tiles array<struct<doc_word:long,item_word:long,words:long>>"
-    own = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text"))
+    names = [id_col, *carry]
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
+    schema = f"{kinds}, item_id long, item_words long, matched_words long, coverage double, tiles array<struct<doc_word:long,item_word:long,words:long>>"
+    own = docs.select(*names, F.col(text_col).cast("string").alias("_text"))
     for b in range(blocks):
         rows = tests.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).orderBy("item", "text").collect()  # one bounded block
         if not rows and out is not None:
@@ -149,7 +150,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         def run(batches, items=[r["item"] for r in rows], texts=[r["text"] for r in rows]):
             block = _Block(items, texts, min_match)
             for batch in batches:
-                column = text_array(batch.column(1))
+                column = text_array(batch.column(len(names)))
                 for lo in range(0, len(column), 2000):
                     words, offsets = plain_words(column.slice(lo, 2000))
                     found = []
@@ -159,9 +160,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                             found.append((lo + t, block.items[i], len(block.words[i]), n, n / len(block.words[i]), [dict(zip(("doc_word", "item_word", "words"), x)) for x in sorted(tiles)]))
                     if found:
                         row, item, size, n, share, tiles = zip(*found)
-                        kinds = pa.list_(pa.struct([("doc_word", pa.int64()), ("item_word", pa.int64()), ("words", pa.int64())]))
-                        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(item, pa.int64()), pa.array(size, pa.int64()), pa.array(n, pa.int64()), pa.array(share), pa.array(tiles, kinds)],
-                                                         [id_col, "item_id", "item_words", "matched_words", "coverage", "tiles"])
+                        spans = pa.list_(pa.struct([("doc_word", pa.int64()), ("item_word", pa.int64()), ("words", pa.int64())]))
+                        yield pa.RecordBatch.from_arrays([*(batch.column(j).take(pa.array(row)) for j in range(len(names))), pa.array(item, pa.int64()), pa.array(size, pa.int64()), pa.array(n, pa.int64()), pa.array(share), pa.array(tiles, spans)],
+                                                         [*names, "item_id", "item_words", "matched_words", "coverage", "tiles"])
 
         part = own.mapInArrow(run, schema)
         out = part if out is None else out.unionAll(part)

@@ -70,8 +70,8 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return later.select("id", "tk", F.explode(F.sequence("first", "last")).alias("line")).distinct()
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
-    """The documents with later repeated runs of lines deleted, and ``removed_lines``.
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, count_col: str = "removed_lines") -> DataFrame:
+    """The documents with later repeated runs of lines deleted, and their number in ``count_col``.
 
     All columns are kept; a column of that name is replaced.
     """
@@ -81,9 +81,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cut = F.split(F.col(text_col), "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(cut) - 1), F.col("__gone"))
     text = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(kept, lambda i: F.get(F.col("__cut"), i)), "\n"))
-    names = [c for c in docs.columns if c != "removed_lines"]
+    names = [c for c in docs.columns if c != count_col]
     out = own.withColumn("__cut", F.when(F.col("__gone").isNotNull(), cut)).withColumn(text_col, text)
-    return out.select(*names, F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).alias("removed_lines"))
+    return out.select(*names, F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).alias(count_col))
 
 
 #: The same rows by comparing line texts themselves (DuckDB).

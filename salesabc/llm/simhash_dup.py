@@ -52,24 +52,30 @@ def simhash(text: str, shingle: int) -> int:
     return int(np.packbits(votes * 2 > len(h), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp long) of every document."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, the ``carry`` columns, fp long) of every document."""
+    names = [id_col, *carry]
 
     def run(batches):
         for batch in batches:
-            fps = np.fromiter((simhash(t, shingle) for t in text_array(batch.column(1)).to_pylist()), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], [id_col, "fp"])
+            fps = np.fromiter((simhash(t, shingle) for t in text_array(batch.column(len(names))).to_pylist()), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(names))), pa.array(fps.view(np.int64))], [*names, "fp"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text")).mapInArrow(run, f"`{id_col}` {kind}, fp long")
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
+    return docs.select(*names, F.col(text_col).cast("string").alias("_text")).mapInArrow(run, f"{kinds}, fp long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """id, fingerprint (16 hex digits), component_id: the least id reachable over links of at most ``radius`` bits."""
-    own = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """id, the ``carry`` columns, fingerprint (16 hex digits), component_id and component_fingerprint.
+
+    The component id is the least id reachable over links of at most
+    ``radius`` bits, the component fingerprint the least one.
+    """
+    hexed = lambda c: F.lower(F.lpad(F.hex(c), 16, "0"))
+    own = written(fingerprints(docs, id_col, text_col, shingle, carry), "fingerprints")
     distinct = written(own.groupBy("fp").agg(F.min(id_col).alias("least")), "distinct-fingerprints")
     groups = connected_components(near_links(distinct.select("fp"), radius))
     named = distinct.join(groups, distinct["fp"] == groups["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    label = written(named.join(least, "component").select("fp", "component_id"), "labels")
-    return own.join(label, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    label = written(named.join(least, "component").select("fp", "component", "component_id"), "labels")
+    return own.join(label, "fp").select(id_col, *carry, hexed("fp").alias("fingerprint"), "component_id", hexed("component").alias("component_fingerprint"))

@@ -264,13 +264,15 @@ def fit_linear(x: np.ndarray, y: np.ndarray, l2: float = 0.05, steps: int = 25)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text",
-             label_col: str = "toxic", fit_rows: int = FIT_ROWS) -> DataFrame:
-    """id, score (probability of label 1) for every document.
+             label_col: str = "toxic", fit_rows: int = FIT_ROWS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """id, the ``carry`` columns, score (probability of label 1) for every document.
 
     ``learn`` is a condition on the id: labels of other rows are never read.
+    Carried columns only go along with their row.
     """
     spark = docs.sparkSession
-    own = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text")).withColumn("_learn", F.coalesce(learn, F.lit(False)) & F.col(id_col).isNotNull())
+    along = [f"_carry{i}" for i in range(len(carry))]
+    own = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"), *(F.col(c).alias(a) for c, a in zip(carry, along))).withColumn("_learn", F.coalesce(learn, F.lit(False)) & F.col(id_col).isNotNull())
     given = (labels.select(F.col(id_col), F.col(label_col).cast("int").alias("label")).where(learn & F.col(id_col).isNotNull() & F.col("label").isin(0, 1))
              .groupBy(id_col).agg(F.max("label").alias("label")))
     given = written(given, "given-labels")
@@ -281,7 +283,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "d
     terms = [f" {_term(w)} " for w in SEED_LEXICON]
     n_seed = len(terms)
     terms += [t for t in mine_terms(written(fit, "fit")) if t not in terms] if n else []
-    narrow = written(text_hits(own, id_col, "text", terms, ["_learn"]).withColumn("pattern", votes(n_seed)), "hits")
+    narrow = written(text_hits(own, id_col, "text", terms, ["_learn", *along]).withColumn("pattern", votes(n_seed)), "hits")
     labelled = narrow.where("_learn").join(given, id_col, "left").withColumn("label", F.coalesce("label", F.lit(-1)))
     table = labelled.groupBy("pattern", "label").count().collect()  # at most 3 * 2^voters rows
     weights = np.zeros(len(terms) + 6)
@@ -298,11 +300,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "d
     def score(batches):
         for batch in batches:
             found, rest = batch.column(1).to_pylist(), [batch.column(i).to_numpy(zero_copy_only=False) for i in range(2, 6)]
+            held = [batch.column(6 + i) for i in range(len(carry))]
             out = []
             for lo in range(0, len(found), 4096):
                 x = design(found[lo:lo + 4096], *(c[lo:lo + 4096] for c in rest), len(terms))
                 out.append(1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -500, 500))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(out) if out else [], pa.float64())], [id_col, "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *held, pa.array(np.concatenate(out) if out else [], pa.float64())], [id_col, *carry, "score"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return narrow.select(id_col, "found", "hits", "words", "upper", "symbols").mapInArrow(score, f"`{id_col}` {kind}, score double")
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in (id_col, *carry))
+    return narrow.select(id_col, "found", "hits", "words", "upper", "symbols", *along).mapInArrow(score, f"{kinds}, score double")
