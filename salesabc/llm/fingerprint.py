@@ -94,9 +94,8 @@ def beside_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     cells = int(max(1, min(MOST_CELLS, 8 * n // BUCKET_ROWS + 1, high - low + 1)))
     width = -(-(high - low + 1) // cells)
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(low))
-    cell = F.floor((key - F.lit(low)) / F.lit(width)).cast("int")  # spans stay far under 2^53
-    if high - low >= 1 << 53:
-        cell = ((key.cast("decimal(20,0)") - F.lit(low)) / F.lit(width)).cast("int")
+    wide = "long" if high - low < 1 << 62 else "decimal(20,0)"  # a wider span would overflow
+    cell = F.call_function("div", key.cast(wide) - F.lit(low).cast(wide), F.lit(width).cast(wide)).cast("int")
     counts = docs.select(key.alias("key"), cell.alias("cell")).groupBy("cell").agg(F.count("*").alias("n"), F.min("key").alias("first")).collect()
     of_cell, firsts, filled = [0] * cells, [], 0
     got = {r["cell"]: r for r in counts}  # at most MOST_CELLS rows
