@@ -218,14 +218,24 @@ class LabelModel:
                     got = np.array([(w * (label == g)).sum() for g in (0, 1)]) + np.array([[8.0, 0.2], [0.2, 8.0]])[c]
                     self.given[c] = got / got.sum()
             if stage == 0:
-                left = np.zeros((v, v))
-                for c in (0, 1):
-                    w, p = mass[:, c] / max(mass[:, c].sum(), 1e-9), np.exp(self._joint())[:, c]
-                    left = np.maximum(left, np.abs(self.bits.T @ (self.bits * w[:, None]) - self.bits.T @ (self.bits * p[:, None])))
-                self.pairs = [(i, j) for i in range(v) for j in range(i + 1, v) if left[i, j] > 0.02]
+                self.pairs = self._correlated(pattern, label, count, post)
                 self.cross = np.zeros(len(self.pairs))
         return self
 
+    def _correlated(self, pattern, label, count, post) -> list[tuple[int, int]]:
+        """Pairs of voters that fire together more or less often than their rates within a class say.
+
+        Classes are the given labels where both have enough of them, else the posterior.
+        """
+        given = [count * (label == c) for c in (0, 1)]
+        classes = given if min(w.sum() for w in given) >= 100 else [count * (1 - post), count * post]
+        left = np.zeros((self.voters, self.voters))
+        for w in classes:
+            x, share = self.bits[pattern], w / max(w.sum(), 1e-9)
+            rate = share @ x
+            left = np.maximum(left, np.abs(x.T @ (x * share[:, None]) - np.outer(rate, rate)))
+        return [(i, j) for i in range(self.voters) for j in range(i + 1, self.voters) if left[i, j] > 0.02]
+
     def posterior(self, pattern: np.ndarray, label: np.ndarray) -> np.ndarray:
         """P(class 1 | voters and, where given, the label)."""
         score = self._joint()[pattern] + np.log(self.prior)
