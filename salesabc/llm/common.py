@@ -63,9 +63,15 @@ def process_cache() -> dict:
 
 
 def text_array(column) -> pa.Array:
-    """An Arrow string column as one array, nulls as empty texts."""
+    """An Arrow string column as one array, nulls as empty texts.
+
+    A slice is copied to an array of its own: some string kernels misread
+    arrays that begin inside a buffer.
+    """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    if column.offset:
+        column = column.take(pa.array(np.arange(len(column))))
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 

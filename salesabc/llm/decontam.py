@@ -152,7 +152,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             for batch in batches:
                 column = text_array(batch.column(len(names)))
                 for lo in range(0, len(column), 2000):
-                    words, offsets = plain_words(column.slice(lo, 2000))
+                    words, offsets = plain_words(text_array(column.slice(lo, 2000)))
                     found = []
                     for t, i, tiles in block.matches(words, offsets):
                         n = sum(x[2] for x in tiles)

@@ -124,7 +124,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             keys, texts = batch.column(0), text_array(batch.column(1))
             step = 4000
             for lo in range(0, len(texts), step):
-                ids, offsets = encode_texts(texts.slice(lo, step), ranks, pattern)
+                ids, offsets = encode_texts(text_array(texts.slice(lo, step)), ranks, pattern)
                 row, piece, start, length, crc, kept = [], [], [], [], [], []
                 for i in range(len(offsets) - 1):
                     own = np.concatenate((ids[offsets[i]:offsets[i + 1]], end))
