@@ -10,18 +10,26 @@ from pyspark.sql import functions as F
 from salesabc import config
 from salesabc.functions.text import strip
 
-# Sheet date formats tried in order (day first).
-SHEET_DATE_FORMATS = ("dd/MM/yyyy HH:mm:ss", "dd/MM/yyyy", "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss")
+# Day-first and ISO dates, each with an optional time (seconds, fractions and a zone may follow).
+_TIME = r"(?:[ T]+(?:[01]?\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:[.,]\d+)?)?\s*(?:Z|[+-]\d{2}:?\d{2})?)?"
+DAY_FIRST = r"^(\d{1,2})/(\d{1,2})/(\d{4})" + _TIME + "$"
+YEAR_FIRST = r"^(\d{4})-(\d{1,2})-(\d{1,2})" + _TIME + "$"
 
 
 def parse_sheet_date(c: Column) -> Column:
-    """Text -> date trying each sheet format; unparseable -> null.
+    """Text -> date: day first with slashes or ISO, with or without padding and time; unreadable -> null.
 
-    Native date/timestamp columns are taken as they are.
+    The date is taken as written, without a zone shift.  One pattern decides
+    on the form, so a value is parsed once.
     """
     txt = strip(c.cast("string"))
-    parsed = [F.try_to_timestamp(txt, F.lit(fmt)) for fmt in SHEET_DATE_FORMATS]
-    return F.to_date(F.coalesce(*parsed))
+
+    def part(pattern: str, i: int) -> Column:
+        return F.lpad(F.regexp_extract(txt, pattern, i), 2, "0")
+
+    iso = (F.when(txt.rlike(DAY_FIRST), F.concat_ws("-", F.regexp_extract(txt, DAY_FIRST, 3), part(DAY_FIRST, 2), part(DAY_FIRST, 1)))
+            .when(txt.rlike(YEAR_FIRST), F.concat_ws("-", F.regexp_extract(txt, YEAR_FIRST, 1), part(YEAR_FIRST, 2), part(YEAR_FIRST, 3))))
+    return F.to_date(F.try_to_timestamp(iso, F.lit("yyyy-MM-dd")))
 
 
 def iso_wall_date(c: Column) -> Column:
@@ -30,9 +38,10 @@ def iso_wall_date(c: Column) -> Column:
 
 
 def iso_wall_time(c: Column) -> Column:
-    """HH:MM:SS as written in an ISO-8601 text; '' when missing."""
-    t = F.substring(c, 12, 8)
-    return F.when(F.length(c) >= 19, t).otherwise(F.lit(""))
+    """HH:MM:SS as written in an ISO-8601 text, seconds 00 if it has none; '' without a time."""
+    pattern = r"^.{10}[T ](\d{2}:\d{2})(:\d{2})?"
+    seconds = F.regexp_extract(c, pattern, 2)
+    return F.when(c.rlike(pattern), F.concat(F.regexp_extract(c, pattern, 1), F.when(seconds == "", ":00").otherwise(seconds))).otherwise(F.lit(""))
 
 
 def month_key(d: Column) -> Column:
@@ -60,7 +69,3 @@ def refresh_window(as_of: dt.date, has_current_sheet: bool) -> tuple[dt.date, dt
     if has_current_sheet:
         return as_of - dt.timedelta(days=1), as_of
     return as_of.replace(day=1), as_of
-
-
-def previous_month(as_of: dt.date) -> dt.date:
-    return (as_of.replace(day=1) - dt.timedelta(days=1)).replace(day=1)

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 from salesabc import config
 
-# Characters Python's str.strip() removes that matter for sheet data.
-_WS = " \t\n\r\f\v"
+# The characters Python's str.strip() removes: ASCII and Unicode white space.
+_WS = "".join(chr(c) for c in (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                               0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 
 
 def strip(c: Column) -> Column:
-    """Python ``str.strip()`` on the usual whitespace (Spark ``trim`` only drops spaces)."""
+    """Python ``str.strip()`` (Spark ``trim`` only drops spaces)."""
     return F.trim(c, F.lit(_WS))
 
 
@@ -25,36 +26,32 @@ def clean_text(c: Column) -> Column:
 
 
 @functools.cache
-def _ascii_fold_map() -> tuple[list[str], list[str]]:
-    """Code point -> ASCII replacement under NFKD, built by rule.
-
-    Every code point whose compatibility decomposition keeps at least one
-    ASCII character is listed; all other non-ASCII characters are dropped
-    by the final regex.
-    """
-    keys, vals = [], []
+def _ascii_folds() -> dict[str, str]:
+    """Code point -> ASCII text under NFKD, for all that keep at least one ASCII character; built by rule."""
+    folds = {}
     for cp in range(0x80, 0x30000):
-        if 0xD800 <= cp <= 0xDFFF:
-            continue
-        ch = chr(cp)
-        folded = unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode()
-        if folded:
-            keys.append(ch)
-            vals.append(folded)
-    return keys, vals
+        if not 0xD800 <= cp <= 0xDFFF:
+            folded = unicodedata.normalize("NFKD", chr(cp)).encode("ascii", "ignore").decode()
+            if folded:
+                folds[chr(cp)] = folded
+    return folds
 
 
 def ascii_fold(c: Column) -> Column:
     """NFKD, drop what is not ASCII, then strip.
 
-    ASCII-only strings skip the per-character map entirely.
+    One-to-one folds (accented letters and the like) are one ``translate``;
+    the few characters that become several (ligatures, fractions) go through
+    a literal map, and only texts that hold one of them.  ASCII texts skip
+    both.
     """
-    keys, vals = _ascii_fold_map()
-    fold_map = F.map_from_arrays(F.lit(keys), F.lit(vals))
-    chars = F.split(c, "")
-    mapped = F.array_join(
-        F.transform(chars, lambda ch: F.coalesce(F.element_at(fold_map, ch), ch)), "")
-    folded = F.regexp_replace(mapped, r"[^\x00-\x7F]", "")
+    folds = _ascii_folds()
+    single = {k: v for k, v in folds.items() if len(v) == 1}
+    several = {k: v for k, v in folds.items() if len(v) > 1}
+    spread = F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in several.items())), F.lit("\x01"), F.lit("\x02"))
+    wide = F.array_join(F.transform(F.split(c, ""), lambda ch: F.coalesce(F.element_at(spread, ch), ch)), "")
+    c1 = F.when(c.rlike("[" + "".join(several) + "]"), wide).otherwise(c)
+    folded = F.regexp_replace(F.translate(c1, "".join(single), "".join(single.values())), r"[^\x00-\x7F]", "")
     return strip(F.when(c.rlike(r"[^\x00-\x7F]"), folded).otherwise(c))
 
 

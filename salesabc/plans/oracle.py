@@ -191,7 +191,7 @@ WHERE NOT EXISTS (SELECT 1 FROM present p WHERE p.grupo = g.grupo AND p.mes_data
 # Cleaning rules (B1-B4) as SQL expressions
 # ---------------------------------------------------------------------------
 
-WS = "chr(32) || chr(9) || chr(10) || chr(13) || chr(12) || chr(11)"
+WS = "chr(32) || chr(9) || chr(10) || chr(13) || chr(12) || chr(11) || chr(160) || chr(8195)"
 
 
 def strip(c: str) -> str:
@@ -494,8 +494,9 @@ UNION_COLS = ("numero_pedido, numero_pedido_erp, numero_carrinho, data_do_pedido
 
 
 def _refresh_window(as_of):
-    from salesabc.functions.dates import refresh_window
-    return refresh_window(as_of, as_of.day != 1)
+    """The days that the feed re-reads: on the first only that day, else yesterday and today."""
+    import datetime as dt
+    return (as_of, as_of) if as_of.day == 1 else (as_of - dt.timedelta(days=1), as_of)
 
 
 SHARED_RUN = f"{SALES_LINES}, {FEED_LINES}, {CATALOG}, {SETTLEMENT.replace(STORE + ',', '', 1)}"
@@ -632,9 +633,10 @@ SELECT numero_pedido, linha, CAST(v_virgula AS DOUBLE) AS v_virgula, CAST(v_gran
 
 
 def _sheet_date(t: str) -> str:
-    fmts = ["%d/%m/%Y %H:%M:%S", "%d/%m/%Y", "%Y-%m-%d", "%Y-%m-%d %H:%M:%S"]
-    tt = strip(t)
-    return "CAST(coalesce(" + ", ".join(f"try_strptime({tt}, '{f}')" for f in fmts) + ") AS DATE)"
+    tt = f"replace({strip(t)}, 'T', ' ')"
+    head = f"split_part({tt}, ' ', 1)"
+    return (f"CASE WHEN contains({head}, '/') THEN CAST(try_strptime({head}, '%d/%m/%Y') AS DATE) "
+            f"WHEN contains({head}, '-') THEN CAST(try_strptime({head}, '%Y-%m-%d') AS DATE) END")
 
 
 ORACLE["date_parse"] = f"""
@@ -644,7 +646,10 @@ WITH t AS (
               WHEN '1' THEN strftime(o_orderdate, '%d/%m/%Y %H:%M:%S')
               WHEN '2' THEN strftime(o_orderdate, '%d/%m/%Y')
               WHEN '3' THEN strftime(o_orderdate, '%Y-%m-%d')
-              WHEN '4' THEN strftime(o_orderdate, '%Y-%m-%d') || 'T00:00:00'
+              WHEN '4' THEN CASE o_orderkey % 4 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') || 'T10:05:00'
+                                 WHEN 1 THEN CAST(day(o_orderdate) AS VARCHAR) || '/' || CAST(month(o_orderdate) AS VARCHAR) || '/' || CAST(year(o_orderdate) AS VARCHAR) || ' 9:30'
+                                 WHEN 2 THEN chr(160) || strftime(o_orderdate, '%Y-%m-%d') || ' 23:59:59.123' || chr(8195)
+                                 ELSE strftime(o_orderdate, '%Y-%m-%d') || 'T23:30:00.000-03:00' END
               ELSE 'x' || CAST(o_orderkey AS VARCHAR) END AS texto
   FROM orders
 ),
@@ -679,8 +684,26 @@ SELECT {interchange(cols('numero_pedido, sku, data_do_pedido:date, loja, valor_t
 FROM (SELECT *, strftime(data_do_pedido, '%Y-%m') AS mes, 'Excel' AS origem_dados FROM clean_lines)
 WHERE mes <> '1998-03'"""
 
+ORACLE["sheet_union_uneven"] = f"""
+WITH {CLEAN_LINES}
+SELECT {interchange(cols('numero_pedido, numero_pedido_erp, sku, data_do_pedido:date, loja, valor_total_produto:dec, valor_unitario_venda:dec, quantidade, titulo, status, tipo_logistica, mes, rastreio'))}
+FROM (SELECT * REPLACE (CASE WHEN month(data_do_pedido) % 3 = 1 THEN titulo || chr(10) || 'linha "2", fim' ELSE titulo END AS titulo,
+                        CASE WHEN month(data_do_pedido) % 3 = 2 THEN '' ELSE numero_pedido_erp END AS numero_pedido_erp),
+             strftime(data_do_pedido, '%Y-%m') AS mes FROM clean_lines)
+WHERE mes <> '1998-03'"""
+
+ORACLE["sheet_missing_headers"] = f"""
+WITH {SALES_LINES}
+SELECT DISTINCT strftime(data_do_pedido, '%Y-%m') AS mes, h.coluna
+FROM sales_lines CROSS JOIN (VALUES {", ".join(f"({_q(k)}, {_q(v)})" for k, v in config.SHEET_HEADERS.items())}) AS h(coluna, nome)
+WHERE h.nome NOT IN ('numero_pedido', 'numero_pedido_erp', 'numero_carrinho', 'loja', 'sku', 'id_canal_marketplace', 'rastreio', 'status',
+                     'tipo_logistica', 'titulo', 'data_do_pedido', 'valor_total_produto', 'valor_unitario_venda', 'quantidade')
+   OR (month(data_do_pedido) % 3 = 2 AND h.nome = 'numero_pedido_erp')"""
+
 ORACLE["catalog_sheet"] = ORACLE["catalog_agg"]
 ORACLE["settlement_files"] = ORACLE["settlement_agg"]
+# Archive R has no coupon; prices of an order are equal in all its lines, so the line order within a member is immaterial.
+ORACLE["settlement_files_uneven"] = ORACLE["settlement_agg"].replace("CAST(l_discount AS DECIMAL(18,3)) AS cupom", "CASE WHEN l_returnflag = 'R' THEN 0 ELSE CAST(l_discount AS DECIMAL(18,3)) END AS cupom")
 ORACLE["markdown_roundtrip"] = ORACLE["sales_fact"]
 ORACLE["fact_full_replace"] = ORACLE["sales_fact"]
 

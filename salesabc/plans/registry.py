@@ -290,11 +290,14 @@ def safe_decimal_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 def date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = tv.table(spark, sf_dir, "orders")
     d = F.col("o_orderdate")
-    digit = F.substring("o_orderpriority", 1, 1)
+    digit, key = F.substring("o_orderpriority", 1, 1), F.col("o_orderkey") % 4
     text = (F.when(digit == "1", F.date_format(d, "dd/MM/yyyy HH:mm:ss"))
              .when(digit == "2", F.date_format(d, "dd/MM/yyyy"))
              .when(digit == "3", F.date_format(d, "yyyy-MM-dd"))
-             .when(digit == "4", F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit("T00:00:00")))
+             .when(digit == "4", F.when(key == 0, F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit("T10:05:00")))
+                                  .when(key == 1, F.date_format(d, "d/M/yyyy' 9:30'"))
+                                  .when(key == 2, F.concat(F.lit("\xa0"), F.date_format(d, "yyyy-MM-dd"), F.lit(" 23:59:59.123\u2003")))
+                                  .otherwise(F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit("T23:30:00.000-03:00"))))
              .otherwise(F.concat(F.lit("x"), F.col("o_orderkey").cast("string"))))
     t = o.select(F.col("o_orderkey").cast("string").alias("numero_pedido"), text.alias("texto"))
     p = t.withColumn("data", dates.parse_sheet_date(F.col("texto")))
@@ -337,13 +340,65 @@ def sheet_union(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("data_do_pedido", "yyyy-MM").alias("mes"))
     base = _scratch(spark, "sheets")
     files.write_month_sheets(text, base)
-    closed, _ = files.select_sheets(files.read_sheets(spark, base), AS_OF)
+    closed, _ = files.read_month_sheets(spark, base, AS_OF)
     out = clean.clean_sales(closed, PROFILE)
     return interchange(out.select("numero_pedido", "sku", "data_do_pedido", "loja", "valor_total_produto",
                                   "valor_unitario_venda", "quantidade", "titulo", "status", "tipo_logistica",
                                   "mes", "origem_dados"))
 
 
+def _uneven_sheets(spark: SparkSession, sf_dir: str) -> str:
+    """Month sheets in three layouts by month: as fixed; reversed, with a line break in each
+    title; and without the order's ERP number, with a column of its own."""
+    lines = tv.sales_lines(spark, sf_dir)
+    money = lambda c: F.replace(F.col(c).cast("string"), F.lit("."), F.lit(","))
+    turn = F.month("data_do_pedido") % 3
+    text = lines.select(
+        "numero_pedido", "numero_pedido_erp", "numero_carrinho", "loja", "sku", "id_canal_marketplace", "rastreio", "status", "tipo_logistica",
+        F.when(turn == 1, F.concat(F.col("titulo"), F.lit('\nlinha "2", fim'))).otherwise(F.col("titulo")).alias("titulo"),
+        F.date_format("data_do_pedido", "d/M/yyyy H:mm").alias("data_do_pedido"),
+        money("valor_total_produto").alias("valor_total_produto"), money("valor_unitario_venda").alias("valor_unitario_venda"),
+        F.col("quantidade").cast("string").alias("quantidade"), F.date_format("data_do_pedido", "yyyy-MM").alias("mes"), turn.alias("turn"))
+    base = _scratch(spark, "uneven-sheets")
+    header = {v: k for k, v in config.SHEET_HEADERS.items()}
+    named = [c for c in files.SHEET_COLUMNS if c in text.columns]
+    layouts = [named, named[::-1], [c for c in named if c != "numero_pedido_erp"]]
+    for k, cols in enumerate(layouts):
+        own = text.where(F.col("turn") == k).select(*[F.col(c).alias(header[c]) for c in cols], *([F.lit("x").alias("Observação")] if k == 2 else []), "mes")
+        own.write.mode("append").option("header", True).option("escape", '"').partitionBy("mes").csv(base)
+    return base
+
+
+@query
+def sheet_union_uneven(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sheets whose headers differ in order and number, united by name."""
+    closed, _ = files.read_month_sheets(spark, _uneven_sheets(spark, sf_dir), AS_OF)
+    out = clean.clean_sales(closed, PROFILE)
+    return interchange(out.select("numero_pedido", "numero_pedido_erp", "sku", "data_do_pedido", "loja", "valor_total_produto",
+                                  "valor_unitario_venda", "quantidade", "titulo", "status", "tipo_logistica", "mes", "rastreio"))
+
+
+@query
+def sheet_missing_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months with a file that lacks an expected header (Q1)."""
+    gaps = files.missing_sheet_headers(spark, _uneven_sheets(spark, sf_dir))
+    return gaps.select(F.regexp_extract("file", "mes=([^/]*)", 1).alias("mes"), "coluna").distinct()
+
+
+@query
+def settlement_files_uneven(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report members whose columns differ by archive (S9): one reversed, one without the coupon."""
+    base = _scratch(spark, "uneven-settlement")
+    rows = tv.settlement_rows(spark, sf_dir)
+    header = {v: k for k, v in config.SETTLEMENT_HEADERS.items()}
+    layouts = {"A": list(header), "N": list(header)[::-1], "R": [c for c in header if c != "cupom"]}
+    for name, cols in layouts.items():
+        own = rows.where(F.col("arquivo") == name).select("arquivo", *[F.col(c).cast("string").alias(header[c]) for c in cols])
+        (own.repartition("arquivo", header["id_pedido"]).sortWithinPartitions(header["id_pedido"])
+            .write.mode("append").option("header", True).partitionBy("arquivo").csv(base))
+    return interchange(settlement.aggregate_settlement(files.read_settlement_reports(spark, base)))
+
+
 @query
 def catalog_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published sheet (',' CSV) -> S7 -> catalogue CSV (';', K1) -> S6 -> A1.
@@ -367,7 +422,8 @@ def settlement_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _scratch(spark, "settlement")
     rows = tv.settlement_rows(spark, sf_dir)
     files.write_settlement_reports(rows, base)
-    junk = rows.limit(5).withColumn("preco_acordado", F.lit(1).cast(config.MONEY))
+    # Junk that must be ignored: every row again with another price, in a system folder.
+    junk = rows.withColumn("preco_acordado", F.lit(1).cast(config.MONEY))
     files.write_settlement_reports(junk, base + "/__MACOSX")
     junk.select(F.col("id_pedido").alias("value")).write.mode("overwrite").text(base + "/notas")
     reports = files.read_settlement_reports(spark, base)

@@ -1,9 +1,9 @@
 """Entry A: the full sales run as one lazy plan.
 
 closed sheets --+
-current sheet --+-- (refresh filter) --+-- clean -- union -- catalogue join --
+current sheet --+-- (refresh filter) --+-- clean -- union
 feed pages -----+---- (window filter) -+
-    -- settlement join -- keep last per (order, sku) -- fact (22 columns)
+    -- keep last per (order, sku) -- catalogue join -- settlement join -- fact (22 columns)
 
 Each source is cleaned on its own (a projection) so the union sees one
 typed schema.  The only shuffles are the two joins (each skipped by a
@@ -68,9 +68,17 @@ def run_sales(inputs: RunInputs, as_of: dt.date, profile: Profile = config.DEFAU
         sources["feed"] = tag_source(prepared(feed_rows(inputs.feed_pages, lo, hi)), 2, "Feed")
     parts = [v for k, v in sources.items() if k != "current_sheet_loaded"]
     union = union_sources(parts)
-    enriched = join_catalog(union, inputs.catalog) if inputs.catalog is not None else union
-    settled = apply_settlement(enriched, _settlement_or_empty(inputs, enriched))
-    deduped = dedup_sales(settled)
+    settlement = _settlement_or_empty(inputs, union)
+
+    def with_costs(df: DataFrame) -> DataFrame:
+        return join_catalog(df, inputs.catalog) if inputs.catalog is not None else df
+
+    # Both joins have one row per key on their build side, so they commute with
+    # keep-last; it runs first, on rows without the catalogue's columns.  The
+    # stages before keep-last stay available for exports and checks.
+    enriched = with_costs(union)
+    settled = apply_settlement(enriched, settlement)
+    deduped = apply_settlement(with_costs(dedup_sales(union)), settlement)
     return RunStages((lo, hi), sources, union, enriched, settled, deduped, fact_table(deduped))
 
 

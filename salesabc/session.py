@@ -49,13 +49,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is.  Only when it is unset (local runs, tests) a private
-    folder is created.
+    used as is.  Only a local master may run without it and gets a private
+    folder; on a cluster executors could not see one, so that is an error.
     """
     cdir = spark.conf.get("spark.checkpoint.dir", None)
     if not cdir:
         cdir = spark.sparkContext.getCheckpointDir()
     if not cdir:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         cdir = tempfile.mkdtemp(prefix="salesabc-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cdir)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -76,7 +76,7 @@ def read_catalog_sheet(spark: SparkSession, path: str) -> DataFrame:
 
     Missing columns are created empty; stock becomes an integer.
     """
-    raw = spark.read.option("header", True).option("sep", ",").csv(path)
+    raw = spark.read.option("header", True).option("sep", ",").option("multiLine", True).option("escape", '"').csv(path)
     df = _rename(raw, config.CATALOG_SHEET_RENAME).withColumn("UN", F.lit("UN"))
     missing = [c for c in SHEET_COLUMNS if c not in df.columns]
     cols = [F.col(f"`{c}`") if c not in missing else F.lit("").alias(c) for c in SHEET_COLUMNS]
@@ -86,7 +86,7 @@ def read_catalog_sheet(spark: SparkSession, path: str) -> DataFrame:
 
 def read_catalog_csv(spark: SparkSession, path: str) -> DataFrame:
     """Catalogue CSV (';', comma decimals) -> raw renamed rows with ingest order."""
-    raw = spark.read.option("header", True).option("sep", ";").csv(path)
+    raw = spark.read.option("header", True).option("sep", ";").option("multiLine", True).option("escape", '"').csv(path)
     df = _rename(raw, config.CATALOG_CSV_RENAME)
     return df.withColumn("ingest_order", file_order())
 
@@ -104,7 +104,3 @@ def sheet_to_csv_rows(sheet: DataFrame) -> DataFrame:
         col = F.col(f"`{c}`") if c in sheet.columns else F.lit("")
         out.append(col.cast("string").alias(names[c]))
     return sheet.select(*out)
-
-
-def clean_sku(c: Column) -> Column:
-    return strip(c.cast("string"))

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from salesabc import config
 from salesabc.config import MONEY
-from salesabc.functions.dates import iso_wall_date, iso_wall_time, month_key
+from salesabc.functions.dates import iso_wall_date, iso_wall_time
 from salesabc.functions.numeric import parse_decimal, zero
 
 ITEM = T.StructType([
@@ -152,7 +152,3 @@ def order_sample(pages: DataFrame, as_of: dt.date, n: int = 10) -> DataFrame:
     return rows.select("numero_pedido", "data_do_pedido", "hora_do_pedido", "loja", "status",
                        "numero_pedido_erp", "id_canal_marketplace", "rastreio", "tipo_logistica",
                        "numero_carrinho", "sku", "titulo", "valor_unitario_venda", "quantidade")
-
-
-def month_of(c: str = "data_do_pedido"):
-    return month_key(F.col(c))

@@ -94,3 +94,35 @@ def test_refresh_window():
     assert refresh_window(dt.date(2025, 10, 1), True) == (dt.date(2025, 10, 1), dt.date(2025, 10, 1))
     assert refresh_window(dt.date(2025, 10, 15), True) == (dt.date(2025, 10, 14), dt.date(2025, 10, 15))
     assert refresh_window(dt.date(2025, 10, 15), False) == (dt.date(2025, 10, 1), dt.date(2025, 10, 15))
+
+
+def test_dates_in_all_common_forms(spark):
+    import datetime as dt
+    d = dt.date(2025, 10, 5)
+    forms = ["05/10/2025 10:00", "5/10/2025", "5/10/2025 9:05", "2025-10-05T10:00:00", "2025-10-05 10:00:00.123", "2025-10-05T23:30:00.000-03:00",
+             "2025-10-5", "\xa005/10/2025\u2003", "2025-10-05T10:00Z"]
+    assert one_col(spark, forms, dates.parse_sheet_date) == [d] * len(forms)
+    bad = ["31/02/2025", "05/13/2025", "05/10/25", "2025-10-05 25:00", "05/10/2025 10:61", "10/2025", "", "x"]
+    assert one_col(spark, bad, dates.parse_sheet_date) == [None] * len(bad)
+
+
+def test_iso_time_without_seconds(spark):
+    got = one_col(spark, ["2025-10-24T23:30-03:00", "2025-10-24T23:30:15.000-03:00", "2025-10-24", None], dates.iso_wall_time)
+    assert got == ["23:30:00", "23:30:15", "", ""]
+
+
+def test_strip_is_python_strip(spark):
+    vals = [chr(c) + "a b" + chr(c) for c in range(1, 0x3100) if not 0xD800 <= c <= 0xDFFF]
+    assert one_col(spark, vals, text.strip) == [v.strip() for v in vals]
+
+
+def test_ascii_fold_is_nfkd(spark):
+    import time
+    import unicodedata
+    t0 = time.perf_counter()
+    text.ascii_fold(F.col("c"))
+    text.ascii_fold(F.col("c"))
+    assert time.perf_counter() - t0 < 3  # building the expression costs no row-wise calls
+    vals = ["x" + chr(c) + "y" for c in range(1, 0x30000, 7) if not 0xD800 <= c <= 0xDFFF] + ["São João", "ﬁm ½ ㎏ Ⅷ", "ça", "日本 a"]
+    want = [unicodedata.normalize("NFKD", v).encode("ascii", "ignore").decode().strip() for v in vals]
+    assert one_col(spark, vals, text.ascii_fold) == want

@@ -5,11 +5,11 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from salesabc import config
+from salesabc import config, session
 from salesabc.functions import business
-from salesabc.operators import catalog, consolidate, pareto, settlement
+from salesabc.operators import catalog, consolidate, cumulative, pareto, settlement
 from salesabc.operators.cumulative import running_sum
-from salesabc.sources import order_feed
+from salesabc.sources import files, order_feed
 
 PROFILE = config.DEFAULT_PROFILE
 
@@ -136,3 +136,70 @@ def test_range_running_sum_equals_window(spark):
     a = running_sum(df, ["g"], order, "v", "r", strategy="window").collect()
     b = running_sum(df, ["g"], order, "v", "r", strategy="range", slices=7).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_sliced_running_sum_equals_window(spark):
+    """Ties, zero and negative values, null keys; and no slice of the hot group holds most of it."""
+    import random
+    r = random.Random(2)
+    rows = [("hot" if i % 5 else "cold", r.choice([0, 1000, 2000, 2500, 63_000, 64_000, 64_001, 10**6 + i, -5000, -7, 1]), None if i == 7 else f"{r.randint(0, 9999):04d}", i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, v long, sku string, k long").dropDuplicates(["g", "v", "sku"])
+    order = [F.col("v").desc(), F.col("sku")]
+    want = running_sum(df, ["g"], order, "v", "r", strategy="window").collect()
+    sliced = df.withColumns(cumulative.slice_columns("v", "sku"))
+    got = cumulative.sliced_running_sum(cumulative.sliced_total(sliced, ["g"], "v", "total"), ["g"], order, "v", "r")
+    assert sorted(map(str, (tuple(x) for x in got.drop("total").collect()))) == sorted(map(str, (tuple(x) for x in want)))
+    assert {x.total for x in got.collect()} == {x[0] for x in df.groupBy("g").agg(F.sum("v")).select("sum(v)").collect()}
+    most = sliced.where("g = 'hot'").groupBy("_s1", "_s2").count().agg(F.max("count")).first()[0]
+    assert most < 0.2 * df.where("g = 'hot'").count()
+
+
+def test_curves_never_gather_a_group(spark):
+    """Row-wise windows of the default curves run inside slices; only slice sums see a whole group."""
+    from salesabc.plans import registry
+    plan = registry.QUERIES["pareto_abc"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
+    over = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(over) >= 4
+    assert all("_s1" in line or "_sum" in line for line in over)
+
+
+def test_sheets_read_chosen_months_only(spark):
+    """The month condition reaches the scan as a partition filter; headers are bound by name."""
+    base = session.scratch_path(spark, "sheet-test")
+    head = {v: k for k, v in config.SHEET_HEADERS.items()}
+    a, b = head["numero_pedido"], head["sku"]
+    spark.createDataFrame([("p1", "A\nx"), ("p2", 'q "B"')], f"`{a}` string, `{b}` string").coalesce(1).write.option("header", True).option("escape", '"').csv(f"{base}/mes=2025-09")
+    spark.createDataFrame([("C", "p3", "?")], f"`{b}` string, `{a}` string, extra string").coalesce(1).write.option("header", True).csv(f"{base}/mes=2025-10")
+    spark.createDataFrame([("p4",)], f"`{a}` string").coalesce(1).write.option("header", True).csv(f"{base}/mes=2025-11")
+    closed, current = files.read_month_sheets(spark, base, dt.date(2025, 11, 5))
+    assert sorted((r.numero_pedido, r.sku, r.mes) for r in closed.collect()) == [("p1", "A\nx", "2025-09"), ("p2", 'q "B"', "2025-09"), ("p3", "C", "2025-10")]
+    assert [(r.numero_pedido, r.sku) for r in current.collect()] == [("p4", None)]
+    plan = closed._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(mes" in plan
+    gaps = {(r.file.split("mes=")[1][:7], r.coluna) for r in files.missing_sheet_headers(spark, base).collect()}
+    assert ("2025-11", b) in gaps and ("2025-10", b) not in gaps and ("2025-09", a) not in gaps
+
+
+def test_published_types(spark):
+    """The fact and the curves carry their published types, not the checker's."""
+    from salesabc.plans import registry
+    from salesabc.plans.sales_run import run_sales
+    fact = run_sales(registry.run_inputs(spark, "/root/testdata/sf0.001", registry.AS_OF), registry.AS_OF, registry.PROFILE).fact
+    assert [(f.name, f.dataType) for f in fact.schema] == [(f.name, f.dataType) for f in config.FACT_SCHEMA.fields]
+
+
+def test_shared_folder_is_needed_on_a_cluster(spark):
+    class Cluster:
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+        class conf:
+            get = staticmethod(lambda k, d=None: d)
+
+    try:
+        session.ensure_checkpoint_dir(Cluster)
+    except ValueError as e:
+        assert "spark.checkpoint.dir" in str(e)
+    else:
+        raise AssertionError("a private folder was taken on a cluster")
