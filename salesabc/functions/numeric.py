@@ -17,14 +17,17 @@ def zero(scale: int = 3) -> Column:
     return F.lit(0).cast(_dec(18, scale))
 
 
+def number_or_null(c: Column) -> Column:
+    """Text -> decimal, a comma read as the decimal point; unreadable -> null."""
+    return F.replace(strip(c.cast("string")), F.lit(","), F.lit(".")).try_cast(_dec(38, 10))
+
+
 def parse_decimal(c: Column, scale: int = 3, precision: int = 18) -> Column:
     """Text or number -> decimal(precision, scale), HALF_UP; bad/blank/null -> 0.
 
     A comma is read as the decimal point ("1,5" -> 1.5).
     """
-    txt = F.replace(strip(c.cast("string")), F.lit(","), F.lit("."))
-    wide = txt.try_cast(_dec(38, 10))
-    rounded = F.round(wide, scale).try_cast(_dec(precision, scale))
+    rounded = F.round(number_or_null(c), scale).try_cast(_dec(precision, scale))
     return F.coalesce(rounded, F.lit(0).cast(_dec(precision, scale)))
 
 

@@ -12,9 +12,12 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesabc import config
 from salesabc.config import MONEY2
+from salesabc.functions.dates import parse_sheet_date
+from salesabc.functions.numeric import parse_decimal, parse_long
 from salesabc.functions.text import clean_text, strip
 from salesabc.operators.clean import conform
 from salesabc.operators.dedup import keep_last
@@ -50,8 +53,9 @@ def refresh_filter(df: DataFrame, lo: dt.date, hi: dt.date, date_col: str = "dat
     return df.filter((d < F.lit(lo)) | (d > F.lit(hi)))
 
 
-def window_filter(df: DataFrame, lo: dt.date, hi: dt.date, date_col: str = "data_do_pedido") -> DataFrame:
-    return df.filter(F.col(date_col).between(F.lit(lo), F.lit(hi)))
+def months_filter(df: DataFrame, months: list[str], month_col: str = "mes") -> DataFrame:
+    """Rows of the listed months ``yyyy-MM``."""
+    return df.filter(F.col(month_col).isin(*months))
 
 
 def month_filter(df: DataFrame, year: int, month: int, date_col: str = "data_do_pedido") -> DataFrame:
@@ -87,3 +91,19 @@ def fact_table(df: DataFrame) -> DataFrame:
         "quantidade": F.coalesce(F.col("quantidade"), F.lit(0)).cast("long"),
     })
     return d.select(*[F.col(f"`{c}`") for c in config.FACT_COLUMNS])
+
+
+def fact_from_text(table: DataFrame) -> DataFrame:
+    """A fact read back as text (Markdown) -> typed fact; columns it lacks are null or empty."""
+    typed = []
+    for f in config.FACT_SCHEMA.fields:
+        c = F.col(f"`{f.name}`") if f.name in table.columns else F.lit(None).cast("string")
+        if isinstance(f.dataType, T.DecimalType):
+            typed.append(parse_decimal(c, 2).alias(f.name))
+        elif isinstance(f.dataType, T.LongType):
+            typed.append(parse_long(c).alias(f.name))
+        elif isinstance(f.dataType, T.DateType):
+            typed.append(parse_sheet_date(c).alias(f.name))
+        else:
+            typed.append(F.coalesce(c, F.lit("")).alias(f.name))
+    return table.select(*typed)

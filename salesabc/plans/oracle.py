@@ -599,11 +599,10 @@ SELECT {interchange(cols('numero_pedido, data_do_pedido:date, hora_do_pedido, lo
 FROM feed_lines WHERE numero_pedido IN (SELECT CAST(o_orderkey AS VARCHAR) FROM first_orders)"""
 
 ORACLE["page_completeness"] = """
-WITH t AS (SELECT count(*) AS total, count(DISTINCT o_orderkey // 50) AS pages FROM orders)
-SELECT CAST(total AS BIGINT) AS total, CAST(50 AS BIGINT) AS tamanho_pagina,
-       CAST(ceil(total / 50.0) AS BIGINT) AS paginas_esperadas, CAST(pages AS BIGINT) AS paginas_recebidas,
-       CAST(ceil(total / 50.0) AS BIGINT) - pages AS paginas_faltantes, CAST(total AS BIGINT) AS pedidos_recebidos,
-       (CAST(ceil(total / 50.0) AS BIGINT) = pages) AS completo
+WITH t AS (SELECT strftime(o_orderdate, '%Y-%m-%d') AS dia, count(*) AS total FROM orders GROUP BY ALL)
+SELECT dia, CAST(total AS BIGINT) AS total, CAST(50 AS BIGINT) AS tamanho_pagina,
+       CAST(ceil(total / 50.0) AS BIGINT) AS paginas_esperadas, CAST(ceil(total / 50.0) AS BIGINT) AS paginas_recebidas,
+       CAST(0 AS BIGINT) AS paginas_faltantes, CAST(total AS BIGINT) AS pedidos_recebidos, true AS completo
 FROM t"""
 
 ORACLE["store_prefix_filter"] = f"""
@@ -731,3 +730,41 @@ SELECT * FROM (VALUES
   ('duplicatas_removidas', (SELECT count(*) FROM run_settled) - (SELECT count(*) FROM run_fact)),
   ('colunas_obrigatorias_faltantes', 0)
 ) AS t(etapa, linhas)"""
+
+# ---------------------------------------------------------------------------
+# Jobs from landed files to sinks
+# ---------------------------------------------------------------------------
+
+ORACLE["pareto_replace"] = ORACLE["pareto_table_text"]
+ORACLE["month_export"] = ORACLE["month_slice"]
+ORACLE["pareto_from_markdown"] = ORACLE["pareto_from_fact"]
+ORACLE["catalog_refresh"] = ORACLE["catalog_agg"]
+ORACLE["sales_job_fact"] = ORACLE["sales_fact"]
+
+
+def _table_rows(source_cte: str, source: str) -> str:
+    return ORACLE["pareto_table_text"].replace(pareto_sql(SALES_LINES, "sales_lines"), pareto_sql(source_cte, source))
+
+
+ORACLE["pareto_months_replace"] = f"""
+SELECT * FROM ({_table_rows(run_ctes(AS_OF), 'run_fact')}) WHERE mes <> '1998-03'
+UNION ALL
+SELECT * FROM ({_table_rows(run_ctes(_as_of(31)), 'run_fact')}) WHERE mes = '1998-03'"""
+
+ORACLE["rolling_refresh_no_sheet"] = f"""
+WITH {SALES_LINES}, {FEED_LINES},
+run_union AS (
+  SELECT numero_pedido, sku, data_do_pedido, '' AS hora_do_pedido, loja, quantidade, rastreio, 0 AS source_rank, 'Excel' AS origem_dados
+  FROM sales_lines WHERE strftime(data_do_pedido, '%Y-%m') <> '1998-03'
+  UNION ALL
+  SELECT numero_pedido, sku, data_do_pedido, hora_do_pedido, loja, quantidade, rastreio, 2, 'Feed'
+  FROM feed_lines WHERE data_do_pedido BETWEEN DATE '1998-03-01' AND DATE '1998-03-15'
+)
+SELECT {interchange(cols(UNION_SPEC))} FROM run_union"""
+
+ORACLE["sheet_unreadable"] = """
+SELECT 'data_do_pedido' AS coluna, count(*) AS preenchidos, count(*) FILTER (o_orderkey % 3 = 0) AS ilegiveis FROM orders
+UNION ALL
+SELECT 'valor_total_produto', count(*) FILTER (o_orderkey % 5 <> 0), count(*) FILTER (o_orderkey % 5 <> 0 AND o_orderkey % 7 = 0) FROM orders
+UNION ALL
+SELECT 'quantidade', count(*) FILTER (o_orderkey % 2 <> 0), 0 FROM orders"""

@@ -20,7 +20,7 @@ from salesabc import config, session
 from salesabc.functions import business, dates, numeric
 from salesabc.functions import text as text_fn
 from salesabc.operators import catalog, clean, consolidate, pareto, quality, settlement
-from salesabc.plans import sales_run
+from salesabc.plans import jobs, sales_run
 from salesabc.sinks import writers
 from salesabc.sources import catalog_sources, files, order_feed
 from salesabc.sources import testviews as tv
@@ -96,8 +96,21 @@ def _settlement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settlement.aggregate_settlement(tv.settlement_rows(spark, sf_dir))
 
 
-def _feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_feed.parse_pages(tv.order_pages_text(spark, sf_dir))
+_LANDED: dict[tuple[str, str], str] = {}
+
+
+def landed_feed(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of the landed feed; it is written once in a session for each input."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LANDED:
+        path = session.scratch_path(spark, "feed")
+        tv.land_feed(spark, sf_dir, path)
+        _LANDED[key] = path
+    return _LANDED[key]
+
+
+def _feed_pages(spark: SparkSession, sf_dir: str, lo: dt.date | None = None, hi: dt.date | None = None) -> DataFrame:
+    return order_feed.read_pages(spark, landed_feed(spark, sf_dir), lo, hi)
 
 
 def run_inputs(spark: SparkSession, sf_dir: str, as_of: dt.date) -> sales_run.RunInputs:
@@ -107,7 +120,7 @@ def run_inputs(spark: SparkSession, sf_dir: str, as_of: dt.date) -> sales_run.Ru
     return sales_run.RunInputs(
         closed_sheets=rows.filter(month != key),
         current_sheet=None if as_of.day == 1 else rows.filter(month == key),
-        feed_pages=_feed_pages(spark, sf_dir),
+        feed_pages=lambda lo, hi: _feed_pages(spark, sf_dir, lo, hi),
         catalog=_catalog(spark, sf_dir),
         settlement=_settlement(spark, sf_dir),
     )
@@ -430,27 +443,12 @@ def settlement_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interchange(settlement.aggregate_settlement(reports))
 
 
-def _fact_from_markdown(table: DataFrame) -> DataFrame:
-    typed = []
-    for f in config.FACT_SCHEMA.fields:
-        c = F.col(f"`{f.name}`") if f.name in table.columns else F.lit(None).cast("string")
-        if isinstance(f.dataType, T.DecimalType):
-            typed.append(numeric.parse_decimal(c, 2).alias(f.name))
-        elif isinstance(f.dataType, T.LongType):
-            typed.append(numeric.parse_long(c).alias(f.name))
-        elif isinstance(f.dataType, T.DateType):
-            typed.append(dates.parse_sheet_date(c).alias(f.name))
-        else:
-            typed.append(F.coalesce(c, F.lit("")).alias(f.name))
-    return table.select(*typed)
-
-
 @query
 def markdown_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact -> Markdown table (K7) -> read back (S10, P7) -> typed fact."""
     path = _scratch(spark, "markdown")
     writers.write_markdown(_run(spark, sf_dir, AS_OF).fact, path)
-    return interchange(_fact_from_markdown(files.read_markdown_table(spark, path)))
+    return interchange(consolidate.fact_from_text(files.read_markdown_table(spark, path)))
 
 
 @query
@@ -474,6 +472,108 @@ def month_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interchange(spark.read.parquet(path).select(*[F.col(f"`{c}`") for c in config.FACT_COLUMNS]))
 
 
+def _read_curves(spark: SparkSession, path: str) -> DataFrame:
+    out = spark.read.parquet(path)
+    return out.withColumns({"tabela": F.col("tabela").cast("string"), "mes": F.col("mes").cast("string")})
+
+
+@query
+def pareto_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publishing the curves replaces whatever was there (K4)."""
+    path = _scratch(spark, "pareto")
+    lines = tv.sales_lines(spark, sf_dir)
+    jobs.pareto_job(lines.where(F.col("regiao") == "ASIA").withColumn("loja", F.lit("loja antiga")), path, profile=PROFILE)
+    jobs.pareto_job(lines, path, profile=PROFILE)
+    return _read_curves(spark, path)
+
+
+@query
+def pareto_months_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only the listed months of the curves are replaced."""
+    path = _scratch(spark, "pareto-months")
+    jobs.pareto_job(_run(spark, sf_dir, AS_OF).fact, path, profile=PROFILE)
+    jobs.pareto_job(_run(spark, sf_dir, dt.date(1998, 3, 31)).fact, path, ["1998-03"], PROFILE)
+    return _read_curves(spark, path)
+
+
+@query
+def month_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current month's processed rows through the sink (K6)."""
+    path = _scratch(spark, "month-export")
+    writers.export_month(_run(spark, sf_dir, AS_OF).enriched, path, AS_OF.year, AS_OF.month)
+    out = spark.read.parquet(path)
+    assert "origem_dados" not in out.columns
+    return interchange(out.select("numero_pedido", "sku", "data_do_pedido", "hora_do_pedido", "rastreio",
+                                  "quantidade", "custo_unitario", "custo_total_produto", "source_rank"))
+
+
+@query
+def pareto_from_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fact kept as Markdown, repaired to its types, gives the same curves (entry B)."""
+    path, out = _scratch(spark, "markdown-in"), _scratch(spark, "markdown-out")
+    writers.write_markdown(_run(spark, sf_dir, AS_OF).fact, path)
+    fact = jobs.markdown_job(spark, path, out, PROFILE)
+    return interchange(pareto.pareto_abc(fact, PROFILE))
+
+
+@query
+def catalog_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published sheet -> catalogue CSV -> catalogue (entry C)."""
+    rows = tv.catalog_rows(spark, sf_dir)
+    sheet, out = _scratch(spark, "refresh-sheet"), _scratch(spark, "refresh-csv")
+    rows.orderBy("ingest_order").select(F.col("Código").alias("Codigo"), "Produto", "Quantidade", "Valor unitario", "Fornecedores", "Categoria",
+                                        "Subcategoria", "Tipo de Venda").write.option("header", True).csv(sheet)
+    jobs.catalog_job(spark, sheet, out)
+    return interchange(catalog_sources.load_catalog(spark, out))
+
+
+def land_inputs(spark: SparkSession, sf_dir: str) -> jobs.Landed:
+    """Every input of the sales run as files, rows in ingest order."""
+    base = _scratch(spark, "landed")
+    lines = tv.sales_lines(spark, sf_dir)
+    money = lambda c: F.replace(F.col(c).cast("string"), F.lit("."), F.lit(",")).alias(c)
+    text = lines.select("numero_pedido", "numero_pedido_erp", "numero_carrinho", "loja", "sku", "titulo", "id_canal_marketplace", "rastreio", "status",
+                        "tipo_logistica", F.date_format("data_do_pedido", "dd/MM/yyyy HH:mm:ss").alias("data_do_pedido"), money("valor_total_produto"),
+                        money("valor_unitario_venda"), F.col("quantidade").cast("string").alias("quantidade"),
+                        F.date_format("data_do_pedido", "yyyy-MM").alias("mes"), "ingest_order")
+    files.write_month_sheets(text.orderBy("mes", "ingest_order"), f"{base}/sheets")
+    names = dict(zip(catalog_sources.SHEET_COLUMNS, config.CATALOG_CSV_COLUMNS))
+    cat = tv.catalog_rows(spark, sf_dir).orderBy("ingest_order")
+    cat.select(*[F.col(c) for c in cat.columns if c in names.values()]).write.option("header", True).option("sep", ";").csv(f"{base}/catalog")
+    files.write_settlement_reports(tv.settlement_rows(spark, sf_dir), f"{base}/settlements")
+    return jobs.Landed(f"{base}/sheets", landed_feed(spark, sf_dir), f"{base}/catalog", f"{base}/settlements")
+
+
+@query
+def sales_job_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole sales job from landed files to the stored fact (entry A)."""
+    out = _scratch(spark, "sales-job")
+    stages = jobs.sales_job(spark, land_inputs(spark, sf_dir), out, AS_OF, PROFILE)
+    return interchange(spark.read.schema(stages.fact.schema).parquet(f"{out}/fact"))
+
+
+@query
+def rolling_refresh_no_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without a sheet for the month the feed gives the month so far."""
+    inputs = run_inputs(spark, sf_dir, AS_OF)
+    inputs.current_sheet = None
+    st = sales_run.run_sales(inputs, AS_OF, PROFILE)
+    return interchange(st.union.select("numero_pedido", "sku", "data_do_pedido", "hora_do_pedido", "loja",
+                                       "quantidade", "rastreio", "source_rank", "origem_dados"))
+
+
+@query
+def sheet_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filled date and number cells that parse to nothing, counted before any filter (Q5)."""
+    o = tv.table(spark, sf_dir, "orders")
+    price = F.replace(F.col("o_totalprice").cast(T.DecimalType(18, 2)).cast("string"), F.lit("."), F.lit(","))
+    raw = o.select(F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("dia "), F.col("o_orderkey").cast("string")))
+                    .otherwise(F.date_format("o_orderdate", "d/M/yyyy HH:mm")).alias("data_do_pedido"),
+                   F.when(F.col("o_orderkey") % 5 == 0, F.lit(None)).when(F.col("o_orderkey") % 7 == 0, "n/d").otherwise(price).alias("valor_total_produto"),
+                   F.when(F.col("o_orderkey") % 2 == 0, "  ").otherwise(F.col("o_orderkey").cast("string")).alias("quantidade"))
+    return quality.unreadable(raw, ["data_do_pedido"], ["valor_total_produto", "quantidade"])
+
+
 @query
 def load_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = _run(spark, sf_dir, AS_OF)

@@ -14,6 +14,7 @@ keep-last aggregate.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -33,7 +34,7 @@ from salesabc.sources.order_feed import feed_rows
 class RunInputs:
     closed_sheets: DataFrame | None = None   # every month but the current one (S2)
     current_sheet: DataFrame | None = None   # the current month's sheet, if landed
-    feed_pages: DataFrame | None = None      # order pages (S3)
+    feed_pages: Callable[[dt.date, dt.date], DataFrame] | None = None  # order pages of a window of days (S3, S4)
     catalog: DataFrame | None = None         # aggregated catalogue (A1)
     settlement: DataFrame | None = None      # aggregated settlement (A2)
 
@@ -65,7 +66,7 @@ def run_sales(inputs: RunInputs, as_of: dt.date, profile: Profile = config.DEFAU
         sources["current_sheet_loaded"] = cur
         sources["current_sheet"] = tag_source(refresh_filter(cur, lo, hi), 1, "Excel")
     if inputs.feed_pages is not None:
-        sources["feed"] = tag_source(prepared(feed_rows(inputs.feed_pages, lo, hi)), 2, "Feed")
+        sources["feed"] = tag_source(prepared(feed_rows(inputs.feed_pages(lo, hi), lo, hi)), 2, "Feed")
     parts = [v for k, v in sources.items() if k != "current_sheet_loaded"]
     union = union_sources(parts)
     settlement = _settlement_or_empty(inputs, union)

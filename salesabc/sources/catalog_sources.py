@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from salesabc import config
 from salesabc.functions.numeric import parse_long
-from salesabc.functions.text import strip
 from salesabc.operators.catalog import aggregate_catalog
 
 PRODUCT = T.StructType([

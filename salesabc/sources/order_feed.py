@@ -1,8 +1,8 @@
 """Order feed: landed JSON pages -> one row per order item.
 
 The feed is read from landed pages (one JSON document per line, one page
-per document) instead of a paged HTTP loop; every page is parsed in
-parallel and items are flattened with ``posexplode_outer``.
+per document, one folder per day) instead of a paged HTTP loop; every page is
+parsed in parallel and items are flattened with ``posexplode_outer``.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from salesabc import config
 from salesabc.config import MONEY
 from salesabc.functions.dates import iso_wall_date, iso_wall_time
 from salesabc.functions.numeric import parse_decimal, zero
+from salesabc.sources.catalog_sources import file_order
 
 ITEM = T.StructType([
     T.StructField("unit_price", T.StringType()),
@@ -47,10 +48,23 @@ PAGE = T.StructType([
 ])
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed pages with an explicit schema (no inference pass over the data)."""
-    return (spark.read.schema(PAGE).option("mode", "PERMISSIVE").json(path)
-            .withColumn("page", F.coalesce(F.col("page"), F.lit(None).cast("long"))))
+DAY_DIR = "dia"
+
+
+def read_pages(spark: SparkSession, path: str, lo: dt.date | None = None, hi: dt.date | None = None) -> DataFrame:
+    """Landed pages, one folder ``dia=yyyy-MM-dd`` per day of order creation.
+
+    Only the folders of the inclusive window are read.  Pages carry no number
+    of their own: a page is known by its file and its place in it, and that
+    order decides which of two lines is the later one.
+    """
+    pages = spark.read.schema(PAGE).option("mode", "PERMISSIVE").json(path)
+    day = F.col(DAY_DIR).cast("string")
+    if lo is not None:
+        pages = pages.where(day >= lo.isoformat())
+    if hi is not None:
+        pages = pages.where(day <= hi.isoformat())
+    return pages.select(day.alias(DAY_DIR), "total", "orders", file_order().alias("page"))
 
 
 def parse_pages(text: DataFrame, col: str = "value") -> DataFrame:
@@ -119,12 +133,12 @@ def feed_rows(pages: DataFrame, lo: dt.date | None = None, hi: dt.date | None =
 
 
 def page_completeness(pages: DataFrame, page_size: int = config.FEED_PAGE_SIZE) -> DataFrame:
-    """Landed pages against the page count the feed announced."""
-    agg = pages.agg(F.max("total").alias("total"),
-                    F.count_distinct("page").alias("paginas_recebidas"),
-                    F.sum(F.size(F.coalesce(F.col("orders"), F.array()))).alias("pedidos_recebidos"))
+    """Landed pages of each day against the order count the feed announced for it."""
+    agg = pages.groupBy(DAY_DIR).agg(F.max("total").alias("total"), F.count("*").alias("paginas_recebidas"),
+                                     F.sum(F.size(F.coalesce(F.col("orders"), F.array()))).alias("pedidos_recebidos"))
     expected = F.ceil(F.col("total") / F.lit(page_size)).cast("long")
     return agg.select(
+        DAY_DIR,
         F.col("total").cast("long").alias("total"),
         F.lit(page_size).cast("long").alias("tamanho_pagina"),
         expected.alias("paginas_esperadas"),

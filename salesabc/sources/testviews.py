@@ -7,7 +7,7 @@ DataFrame over the parquet files; nothing is materialised.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -148,11 +148,11 @@ def _feed_time(o: str = "o_orderkey", c: str = "o_custkey") -> Column:
 
 
 def order_pages_text(spark: SparkSession, sf_dir: str, page_size: int = 50) -> DataFrame:
-    """The order feed as landed JSON pages (one page per row, column ``value``).
+    """The order feed as JSON pages (dia, page of the day, ``value``).
 
     Orders carry their items in line order; orders without lines keep an
-    empty item list.  Pages hold ``page_size`` consecutive order keys and
-    every page repeats the feed's announced total.
+    empty item list.  Pages hold up to ``page_size`` consecutive orders of a
+    day and, as the real ones, only the announced total and the orders.
     """
     li = table(spark, sf_dir, "lineitem")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
@@ -180,15 +180,21 @@ def order_pages_text(spark: SparkSession, sf_dir: str, page_size: int = 50) -> D
                  _logistic_raw(F.col("o_orderpriority")).alias("logistic_type")).alias("shipping"),
         F.coalesce(F.col("items"), F.array().cast(T.ArrayType(_ITEM_T)))
          .alias("order_items"))
-    total = o.agg(F.count("*")).scalar()
     orders = (o.join(st, o.o_custkey == st.c_custkey)
                .join(items, o.o_orderkey == items.l_orderkey, "left")
-               .select(F.floor(F.col("o_orderkey") / page_size).cast("long").alias("page"),
-                       F.struct(F.col("o_orderkey").alias("k"), order.alias("o")).alias("e")))
-    pages = (orders.groupBy("page")
-                   .agg(F.transform(F.array_sort(F.collect_list("e")), lambda x: x["o"]).alias("orders")))
-    return pages.select(F.to_json(F.struct(F.col("page"), total.alias("total"), F.col("orders")))
-                        .alias("value"))
+               .select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("dia"), F.col("o_orderkey").alias("k"), order.alias("o")))
+    # A day's orders are few; their place in the day gives the page.
+    day = Window.partitionBy("dia")
+    placed = orders.select("dia", "k", "o", F.floor((F.row_number().over(day.orderBy("k")) - 1) / page_size).alias("pg"), F.count("*").over(day).alias("total"))
+    pages = (placed.groupBy("dia", "total", "pg")
+                   .agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "o"))), lambda x: x["o"]).alias("orders")))
+    return pages.select("dia", "pg", F.to_json(F.struct("total", "orders")).alias("value"))
+
+
+def land_feed(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Write the feed's pages as JSON lines, one folder per day."""
+    (order_pages_text(spark, sf_dir).repartition("dia").sortWithinPartitions("dia", "pg")
+        .select("dia", "value").write.mode("overwrite").partitionBy("dia").text(path))
 
 
 def product_pages_text(spark: SparkSession, sf_dir: str, page_size: int = 100) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from salesabc import config
 from salesabc.plans import registry as R
+from salesabc.sources import order_feed
 from salesabc.sources.testviews import TABLES
 
 from .conftest import SF_SMALL
@@ -78,8 +79,30 @@ def test_fact_unique_and_order_independent(spark):
     assert fact.count() == fact.select("numero_pedido", "sku").distinct().count()
     # Same result when every input is randomly repartitioned.
     inputs = R.run_inputs(spark, SF_SMALL, R.AS_OF)
-    for k in ("closed_sheets", "current_sheet", "feed_pages"):
+    for k in ("closed_sheets", "current_sheet"):
         setattr(inputs, k, getattr(inputs, k).repartition(7))
+    pages = inputs.feed_pages
+    inputs.feed_pages = lambda lo, hi: pages(lo, hi).repartition(7)
     from salesabc.plans.sales_run import run_sales
     again = run_sales(inputs, R.AS_OF, R.PROFILE).fact
     assert fact.exceptAll(again).count() == 0 and again.exceptAll(fact).count() == 0
+
+
+def test_feed_reads_the_window_only(spark):
+    """The days of the window reach the scan as a partition filter; pages carry no number."""
+    import datetime as dt
+    pages = R._feed_pages(spark, SF_SMALL, dt.date(1998, 3, 14), dt.date(1998, 3, 15))
+    plan = pages._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dia" in plan
+    assert {r[0] for r in pages.select("dia").distinct().collect()} == {"1998-03-14", "1998-03-15"}
+    assert '"page"' not in spark.read.text(R.landed_feed(spark, SF_SMALL)).first()[0]
+
+
+def test_missing_page_is_seen(spark):
+    pages = R._feed_pages(spark, SF_SMALL)
+    day = pages.groupBy("dia").count().orderBy("dia").first()[0]
+    left = order_feed.page_completeness(pages.where(F.col("dia") == day).limit(0).unionByName(pages.where(F.col("dia") != day)))
+    assert left.where(F.col("dia") == day).count() == 0
+    short = pages.withColumn("orders", F.when(F.col("dia") == day, F.slice("orders", 1, 0)).otherwise(F.col("orders")))
+    got = order_feed.page_completeness(short).where(~F.col("completo")).collect()
+    assert [r.dia for r in got] == [day]

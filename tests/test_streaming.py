@@ -11,7 +11,7 @@ from .conftest import SF_SMALL
 
 def test_stream_matches_batch(spark):
     pages_dir = session.scratch_path(spark, "pages")
-    tv.order_pages_text(spark, SF_SMALL).write.mode("overwrite").text(pages_dir)
+    tv.order_pages_text(spark, SF_SMALL).select("value").write.mode("overwrite").text(pages_dir)
     out, ckpt = session.scratch_path(spark, "feed-out"), session.scratch_path(spark, "feed-ckpt")
     q = start_feed_ingest(spark, pages_dir, out, ckpt)
     q.awaitTermination(300)
