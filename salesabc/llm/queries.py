@@ -20,7 +20,7 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     remainder = F.crc32(F.col("doc_id").cast("string")) % 3
     scored = cotraining.co_train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder != 1)
-    return scored.withColumn("held_out", remainder == 1).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return scored.withColumn("held_out", remainder == 1).withColumns({"predicted": (F.col("score") >= 0.5).cast("int"), "keep": F.col("score") >= 0.5})
 
 
 def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
