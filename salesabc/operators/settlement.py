@@ -6,11 +6,11 @@ build side has one row per order and cannot fan out sales lines.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesabc.config import MONEY
-from salesabc.functions.numeric import money, parse_decimal, times_qty, zero
+from salesabc.functions.numeric import from_milli, int_div, money, parse_decimal, times_qty, to_milli, zero
 from salesabc.functions.text import strip
 from salesabc.operators.dedup import keep_last
 
@@ -43,12 +43,13 @@ def aggregate_settlement(rows: DataFrame, file_col: str = "arquivo",
     return last.select("id_pedido", "preco_acordado", "cashback_cupom", "Comissão")
 
 
-def apply_settlement(sales: DataFrame, settled: DataFrame) -> DataFrame:
+def apply_settlement(sales: DataFrame, settled: DataFrame, allocate: bool = False) -> DataFrame:
     """Sales left join settlement on order id (J3), then J4/B6:
 
-    settled orders take the agreed price as line revenue (on every line of
-    the order); all other lines get unit price x quantity.  Fees come from
-    the report when present.
+    settled orders take the agreed price as line revenue, on every line of
+    the order, or with ``allocate`` split over its lines by their value so
+    that they add up to it (N9); all other lines get unit price x quantity.
+    Fees come from the report when present.
     """
     r = settled.select(F.col("id_pedido").alias("_r_id"),
                        F.col("preco_acordado").alias("_r_preco"),
@@ -58,9 +59,30 @@ def apply_settlement(sales: DataFrame, settled: DataFrame) -> DataFrame:
     cash = F.col("cashback_cupom") if "cashback_cupom" in sales.columns else zero(3)
     com = F.col("`Comissão`") if "Comissão" in sales.columns else zero(3)
     out = j.withColumns({
-        "valor_total_produto": F.when(F.col("_r_id").isNotNull(), F.col("_r_preco").cast(MONEY))
+        "valor_total_produto": F.when(F.col("_r_id").isNotNull(), _line_shares() if allocate else F.col("_r_preco").cast(MONEY))
                                 .otherwise(times_qty(F.col("valor_unitario_venda"), F.col("quantidade"))),
         "cashback_cupom": F.coalesce(F.col("_r_cashback"), cash).cast(MONEY),
         "Comissão": F.coalesce(F.col("_r_comissao"), com).cast(MONEY),
     })
     return out.drop("_r_id", "_r_preco", "_r_cashback", "_r_comissao")
+
+
+def _line_shares() -> Column:
+    """The agreed price split over the lines of an order by value, equally if they have none.
+
+    A line gets the rounded price up to it less the rounded price up to the
+    line before, in thousandths, so the lines add up exactly.  The window
+    holds the lines of one settled order; unsettled lines, blank order ids
+    among them, are dealt by line.
+    """
+    order = F.when(F.col("_r_id").isNotNull(), F.col("_r_id")).otherwise(F.concat_ws("\x01", "numero_pedido", "sku", "rastreio"))
+    lines = Window.partitionBy(order)
+    upto = lines.orderBy("sku", "rastreio").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    value = F.greatest(F.coalesce(to_milli(times_qty(F.col("valor_unitario_venda"), F.col("quantidade"))), F.lit(0)), F.lit(0)).cast("decimal(20,0)")
+    none = F.sum(value).over(lines) == 0
+    part = F.when(none, F.count("*").over(upto).cast("decimal(20,0)")).otherwise(F.sum(value).over(upto).cast("decimal(20,0)"))
+    own = F.when(none, F.lit(1).cast("decimal(20,0)")).otherwise(value)
+    whole = F.when(none, F.count("*").over(lines).cast("decimal(20,0)")).otherwise(F.sum(value).over(lines).cast("decimal(20,0)"))
+    price = to_milli(F.col("_r_preco")).cast("decimal(18,0)")
+    rounded = lambda p: int_div(price * p * 2 + whole, whole * 2)
+    return from_milli(rounded(part) - rounded(part - own)).cast(MONEY)

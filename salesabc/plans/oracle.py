@@ -768,3 +768,21 @@ UNION ALL
 SELECT 'valor_total_produto', count(*) FILTER (o_orderkey % 5 <> 0), count(*) FILTER (o_orderkey % 5 <> 0 AND o_orderkey % 7 = 0) FROM orders
 UNION ALL
 SELECT 'quantidade', count(*) FILTER (o_orderkey % 2 <> 0), 0 FROM orders"""
+
+ORACLE["sales_settlement_allocated"] = f"""
+WITH {CLEAN_LINES}, {SETTLEMENT.replace(STORE + ',', '', 1)},
+j AS (
+  SELECT c.numero_pedido, c.sku, c.rastreio, s.id_pedido, s.preco_acordado AS p,
+         CAST(round(c.valor_unitario_venda * c.quantidade, 3) AS {D3}) AS v
+  FROM clean_lines c LEFT JOIN settle s ON c.numero_pedido = s.id_pedido
+),
+w AS (
+  SELECT *, CAST(p * 1000 AS HUGEINT) AS pm, CAST(greatest(v, 0) * 1000 AS HUGEINT) AS vm,
+         CAST(sum(greatest(v, 0)) OVER (PARTITION BY numero_pedido) * 1000 AS HUGEINT) AS tm,
+         CAST(sum(greatest(v, 0)) OVER (PARTITION BY numero_pedido ORDER BY sku, rastreio ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) * 1000 AS HUGEINT) AS cm
+  FROM j
+)
+SELECT numero_pedido, sku, rastreio,
+       CAST(CASE WHEN id_pedido IS NULL THEN v
+                 ELSE CAST((2 * pm * cm + tm) // (2 * tm) - (2 * pm * (cm - vm) + tm) // (2 * tm) AS DECIMAL(18,0)) * 0.001 END AS DOUBLE) AS valor_total_produto
+FROM w"""

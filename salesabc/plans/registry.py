@@ -199,6 +199,13 @@ def sales_with_settlement(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 "cashback_cupom", "Comissão"))
 
 
+@query
+def sales_settlement_allocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Settled prices split over the lines of an order."""
+    j = settlement.apply_settlement(_clean_lines(spark, sf_dir), _settlement(spark, sf_dir), allocate=True)
+    return interchange(j.select("numero_pedido", "sku", "rastreio", "valor_total_produto"))
+
+
 # --- Consolidation -----------------------------------------------------------------------------
 
 @query

@@ -50,7 +50,8 @@ class RunStages:
     fact: DataFrame
 
 
-def run_sales(inputs: RunInputs, as_of: dt.date, profile: Profile = config.DEFAULT_PROFILE) -> RunStages:
+def run_sales(inputs: RunInputs, as_of: dt.date, profile: Profile = config.DEFAULT_PROFILE,
+              allocate: bool = False) -> RunStages:
     def prepared(df: DataFrame) -> DataFrame:
         # Every source gets the same typed columns (missing ones with their
         # defaults) before the union, like the conform step of each loader.
@@ -79,7 +80,7 @@ def run_sales(inputs: RunInputs, as_of: dt.date, profile: Profile = config.DEFAU
     # stages before keep-last stay available for exports and checks.
     enriched = with_costs(union)
     settled = apply_settlement(enriched, settlement)
-    deduped = apply_settlement(with_costs(dedup_sales(union)), settlement)
+    deduped = apply_settlement(with_costs(dedup_sales(union)), settlement, allocate)
     return RunStages((lo, hi), sources, union, enriched, settled, deduped, fact_table(deduped))
 
 

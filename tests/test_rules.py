@@ -203,3 +203,21 @@ def test_shared_folder_is_needed_on_a_cluster(spark):
         assert "spark.checkpoint.dir" in str(e)
     else:
         raise AssertionError("a private folder was taken on a cluster")
+
+
+def test_n9_allocated_price_adds_up(spark):
+    settled = spark.createDataFrame([("1", Decimal("100.000"), Decimal(0), Decimal(0)), ("2", Decimal("10.000"), Decimal(0), Decimal(0))],
+                                    "id_pedido string, preco_acordado decimal(18,3), cashback_cupom decimal(18,3), `Comissão` decimal(18,3)")
+    rows = [("1", "a", "r1", Decimal("1.000"), 1), ("1", "b", "r2", Decimal("1.000"), 2), ("2", "a", "r3", Decimal("0.000"), 5), ("2", "b", "r4", Decimal("0.000"), 5),
+            ("2", "c", "r5", Decimal("0.000"), 5), ("9", "a", "r6", Decimal("2.500"), 2)]
+    sales = spark.createDataFrame(rows, "numero_pedido string, sku string, rastreio string, valor_unitario_venda decimal(18,3), quantidade long")
+    got = {(r.numero_pedido, r.sku): r.valor_total_produto for r in settlement.apply_settlement(sales, settled, allocate=True).collect()}
+    assert got[("1", "a")] == Decimal("33.333") and got[("1", "b")] == Decimal("66.667")
+    assert sum(v for (o, _), v in got.items() if o == "2") == Decimal("10.000") and got[("9", "a")] == Decimal("5.000")
+
+
+def test_b2_store_names_of_the_business(spark):
+    """The fixed store names are looked up, padded ones too, and unknown ones pass."""
+    names = [*config.STORE_NAMES, "Loja nova"]
+    df = spark.createDataFrame([(f" {n} ",) for n in names], "l string")
+    assert [r[0] for r in df.select(business.standard_store(F.col("l"))).collect()] == [*config.STORE_NAMES.values(), "Loja nova"]
