@@ -173,6 +173,8 @@ SHEET_HEADERS: dict[str, str] = {
 }
 
 # Catalogue CSV columns (fixed values, in file order).
+CATALOG_SHEET_COLUMNS = ["sku", "Produto", "UN", "Quantidade", "Valor unitario",
+                         "Fornecedores", "Categoria", "Subcategoria", "tipo_de_venda"]
 CATALOG_CSV_COLUMNS: list[str] = [
     "Código", "Produto", "UN", "Quantidade", "Valor unitario",
     "Fornecedores", "Categoria", "Subcategoria", "Tipo de Venda",

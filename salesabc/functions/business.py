@@ -19,8 +19,8 @@ def _map_literal(mapping: dict[str, str]) -> Column:
 def lookup_or_keep(c: Column, mapping: dict[str, str]) -> Column:
     """Replace by a fixed mapping; unmapped values pass through.
 
-    The mapping is a literal map (constant-folded), so this is a hash
-    lookup inside the generated code, with no join and no shuffle.
+    The mapping is a literal map of a few dozen entries (constant-folded)
+    that is searched inside the generated code; no join and no shuffle.
     """
     if not mapping:
         return c

@@ -16,6 +16,52 @@ P = config.TEST_PROFILE
 OVERALL = P.overall_label
 D3 = "DECIMAL(18,3)"
 
+# Fixed values, written out here so that a wrong constant of the library shows.
+STORE_NAMES = {
+    "Amazon - Daril Vendas": "Amazon - Daril Vendas",
+    "Amazon - LOJA DA MADA": "Amazon - Loja Da Mada",
+    "Amazon - LOJA THITI": "Amazon - Loja Thiti",
+    "Amazon - MEGAJU": "Amazon - Megaju",
+    "Amazon - MEGA STAR SHOPP": "Amazon - Mega Star Shop",
+    "Amazon - NANU SHOP": "Amazon - Nanu Shop",
+    "Ali Express - LOJA THITI": "AliExpress - Loja Thiti",
+    "Ali Express - NANU.SHOP": "AliExpress - Nanu Shop",
+    "Kabum - JULISHOP": "Kabum - Julishop",
+    "Mercado Livre - JULISHOP": "Mercado Livre - Julishop",
+    "Mercado Livre -  LOJA_THITI": "Mercado Livre - Loja Thiti",
+    "Mercado Livre - LOJA_THITI": "Mercado Livre - Loja Thiti",
+    "Mercado Livre - MEGAJU": "Mercado Livre - Megaju",
+    "Shopee - NANU SHOP": "Shopee - Nanu Shop",
+    "Shopee - Loja_da_mada": "Shopee - Loja da Mada",
+    "Shopee - Daril Vendas": "Shopee - Daril Vendas",
+    "TikTok - NANU SHOP": "TikTok - Nanu Shop",
+    "TikTok - LOJA DA MADA": "TikTok - Loja da Mada",
+    "Magazine Luiza - Shop Midas": "Magazine Luiza - Shop Midas",
+    "Shopify - Shopify": "Shopify - Shopify",
+}
+STATUS_LABELS = {
+    "awaiting_send": "Ag. envio",
+    "awaiting_logistic": "Ag. logística",
+    "approved": "Aprovado",
+    "canceled": "Cancelado",
+    "delivered": "Entregue",
+    "not_delivered": "Não Entregue",
+    "ready_to_print": "Pronto para Impressão",
+    "sent": "Enviado",
+    "awaiting_invoice": "Ag. Nota Fiscal",
+    "awaiting_approval": "Ag. Aprovação",
+    "billed": "Faturado",
+    "returned_logistic": "Logística Devolvida",
+    "integration_error": "Erro Integração",
+    "processing": "Processando",
+    "awaiting_payment": "Ag. Pagamento",
+    "canceled_resolved": "Cancelado e resolvido",
+}
+LOGISTICS_TOP_RAW = [("self_service", "Envio Flex"), ("fulfillment", "Fulfillment")]
+LOGISTICS_LOW_RAW = [("drop_off", "Correios Outros"), ("xd_drop_off", "Coleta Outros")]
+LOGISTICS_DEFAULT = "Outros"
+MONTH_NAMES = ["janeiro", "fevereiro", "marco", "abril", "maio", "junho", "julho", "agosto", "setembro", "outubro", "novembro", "dezembro"]
+
 # ---------------------------------------------------------------------------
 # Shared views
 # ---------------------------------------------------------------------------
@@ -65,7 +111,7 @@ def group_list(loja: str = "loja") -> str:
     return f"list_distinct(list_filter([{', '.join(parts)}], lambda x: x IS NOT NULL))"
 
 
-MONTHS_PT = "[" + ", ".join(f"'{m}'" for m in config.MONTH_NAMES_PT) + "]"
+MONTHS_PT = "[" + ", ".join(f"'{m}'" for m in MONTH_NAMES) + "]"
 
 
 def month_label(d: str) -> str:
@@ -208,20 +254,20 @@ def lookup(c: str, mapping: dict[str, str]) -> str:
 
 
 def std_store(c: str = "loja") -> str:
-    return lookup(f"coalesce({strip(c)}, '')", config.STORE_NAMES)
+    return lookup(f"coalesce({strip(c)}, '')", STORE_NAMES)
 
 
 def std_status(c: str = "status") -> str:
-    return lookup(f"coalesce({strip(c)}, '')", config.STATUS_LABELS)
+    return lookup(f"coalesce({strip(c)}, '')", STATUS_LABELS)
 
 
 def logistics(loja: str, raw: str) -> str:
     r = f"coalesce({strip(raw)}, '')"
-    parts = [f"WHEN {r} = {_q(v)} THEN {_q(label)}" for v, label in config.LOGISTICS_TOP_RAW]
+    parts = [f"WHEN {r} = {_q(v)} THEN {_q(label)}" for v, label in LOGISTICS_TOP_RAW]
     for m in sorted(P.marketplaces, key=lambda m: -m.priority):
         parts.append(f"WHEN starts_with({loja}, {_q(m.prefix)}) THEN {_q(m.logistics_class)}")
-    parts += [f"WHEN {r} = {_q(v)} THEN {_q(label)}" for v, label in config.LOGISTICS_LOW_RAW]
-    return f"(CASE {' '.join(parts)} ELSE {_q(config.LOGISTICS_DEFAULT)} END)"
+    parts += [f"WHEN {r} = {_q(v)} THEN {_q(label)}" for v, label in LOGISTICS_LOW_RAW]
+    return f"(CASE {' '.join(parts)} ELSE {_q(LOGISTICS_DEFAULT)} END)"
 
 
 def recompute_cond(loja: str, qty: str) -> str:

@@ -21,8 +21,7 @@ PRODUCT_PAGE = T.StructType([
     T.StructField("data", T.ArrayType(PRODUCT)),
 ])
 
-SHEET_COLUMNS = ["sku", "Produto", "UN", "Quantidade", "Valor unitario",
-                 "Fornecedores", "Categoria", "Subcategoria", "tipo_de_venda"]
+SHEET_COLUMNS = config.CATALOG_SHEET_COLUMNS
 
 
 def file_order() -> Column:
