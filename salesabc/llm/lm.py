@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from .common import hash_words, mix64, scratch, text_array, words_of
 
 K = 5  # counts up to K are discounted
-BLOCK_TOKENS = 4_000_000
+BLOCK_TOKENS = 1_500_000
 BUCKET_CHARS = 12_000_000
 LEAST_BUCKETS = 48
 BEGIN, END = (mix64(np.array([x], np.uint64))[0] for x in (0x1234567, 0x7654321))
@@ -159,7 +159,7 @@ class _Blocks:
         is_end = np.zeros(len(token), bool)
         is_end[stop] = True
         token[is_end], token[~is_end] = END, words
-        doc = np.repeat(np.arange(len(ids)), sizes + 1)
+        doc = np.repeat(np.arange(len(ids), dtype=np.int32), sizes + 1)
         return number, ids, train.astype(bool), token, doc, stop
 
 
