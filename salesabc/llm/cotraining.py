@@ -13,7 +13,7 @@ pseudo-labels a class, view and round; the pool from which they are picked is
 the whole table, and each task hands on its own best ones only.
 
 Defined cases: a null text is empty; null metadata is a value of its own; rows
-without a null-free id are scored but never used for fitting; repeated rows are
+without an id are scored but never used for fitting; repeated rows are
 scored alike; without labels of both classes every score is the share of label
 1 (a half without any); an empty table gives an empty result; extra columns
 are ignored.
