@@ -31,7 +31,7 @@ from .common import process_cache, text_array, written
 CAPACITY = 2048
 END_ID = 0
 #: Pieces of one length that are ranked together.
-RANK_ROWS = 20_000
+RANK_ROWS = 2_000
 #: Unicode white space, as the tokenizer's pattern means it.
 _SPACE = r"[\s\x0B\x{85}\p{Z}]"
 #: Texts in which a plain space touches other white space or an end, or which end in white space.
