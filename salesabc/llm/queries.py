@@ -1,4 +1,4 @@
-"""Registered queries of the operators, one per operator, over whole tables."""
+"""Registered queries of the operators, over whole tables."""
 
 from __future__ import annotations
 
@@ -48,7 +48,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return unit_dedup.repeated_units(table(spark, sf_dir, "documents")).withColumnsRenamed({"kept_id": "kept_doc_id"})
+    return unit_dedup.repeated_units(table(spark, sf_dir, "documents")).drop("text_key").withColumnsRenamed({"kept_id": "kept_doc_id"})
+
+
+def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unit_dedup.repeated_units(table(spark, sf_dir, "documents"), unit="passage").withColumnsRenamed({"kept_id": "kept_doc_id"})
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +68,7 @@ QUERIES = {"op1_best_fit_packing": op1_best_fit_packing,
            "op7_line_dedup": op7_line_dedup,
            "op8_toxicity": op8_toxicity,
            "op9_substring_dedup": op9_substring_dedup,
+           "op9_repeated_passages": op9_repeated_passages,
            "op10_simhash_near_dedup": op10_simhash_near_dedup}
 #: Queries that SQL can express; the tests hold the others against brute-force versions.
 ORACLE: dict[str, str] = {"op7_line_dedup": line_dedup.ORACLE}

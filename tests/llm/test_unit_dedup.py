@@ -64,3 +64,24 @@ def test_query_against_brute_force(spark):
     texts = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     got = QUERIES["op9_substring_dedup"](spark, sf).collect()
     assert sorted((r["doc_id"], r["start"], r["end"], r["kept_doc_id"], r["kept_start"]) for r in got) == brute(texts, "sentence")
+
+
+SHORT = "ENERAT!! ONOUTION.!! AT!! THHE!! ONRE!! OUHEAT,!! AS!! END."
+PLANTED = [(1, f"{SHORT}\nOpening words of document one stand here.\nAs it was. So it is. Never more. It rains."),
+           (2, f"Something else that nobody wrote before.\n{SHORT}\nA tail of its own, not repeated."),
+           (3, "A new start of the line here. As it was. So it is. Never more. It rains. And then a very different end."),
+           (4, f"{SHORT} {SHORT}\n{SHORT}"),
+           (5, "One\nTwo two\nThree three three\n\nOnly document five has this line."), (6, "Before the planted lines of six.\n\nOne\nTwo two\nThree three three"),
+           (7, "!!leading marks stay with their only line"), (8, "Go. " * 12), (None, f"{SHORT}"), (9, None), (10, "")]
+
+
+def test_planted_lines_and_passages(spark):
+    """Short sentences go with the line, paragraph or passage that they stand in; the earliest copy stays whole."""
+    df = spark.createDataFrame(PLANTED, "doc_id long, text string")
+    gone = {}
+    for r in unit_dedup.repeated_units(df, unit="passage").collect():
+        gone.setdefault(r["doc_id"], set()).update(range(r["start"], r["end"]))
+    left = {k: "".join(c for i, c in enumerate(t) if i not in gone.get(k, ())) for k, t in PLANTED if t is not None}
+    assert left == {None: SHORT, 1: PLANTED[0][1].removeprefix(SHORT), 2: "Something else that nobody wrote before.\n\nA tail of its own, not repeated.",
+                    3: "A new start of the line here. And then a very different end.", 4: "", 5: PLANTED[4][1], 6: "Before the planted lines of six.\n\n",
+                    7: PLANTED[6][1], 8: "Go. Go. Go. Go. Go. ", 10: ""}
