@@ -52,7 +52,8 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return unit_dedup.repeated_units(table(spark, sf_dir, "documents"), unit="passage").withColumnsRenamed({"kept_id": "kept_doc_id"})
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return unit_dedup.remove_units(docs, unit_dedup.repeated_units(docs, unit="passage"), spans_col="removed_spans")
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -151,14 +151,30 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     F.col("_kept")[id_col].alias("kept_id"), F.col("_kept")["start"].alias("kept_start")))
 
 
-def remove_units(docs: DataFrame, removed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Documents without the given spans, with ``kept_spans``: start and end in the original text of each part that stays."""
-    spans = removed.groupBy(F.col(id_col).alias("_id")).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_spans"))
+def remove_units(docs: DataFrame, removed: DataFrame, id_col: str = "doc_id", text_col: str = "text", rank: list[str] | None = None,
+                 spans_col: str | None = None) -> DataFrame:
+    """Documents without the given spans, with ``kept_spans``: start and end in the original text of each part that stays.
+
+    ``removed`` is as ``repeated_units`` gives it, with the same ``rank``.  A
+    span belongs to rows with its rank, id and text hash.  Spans inside others
+    are left out; ``spans_col`` names a column for the others, with the place
+    that is kept.
+    """
+    keys = [*(rank or []), id_col]
+    own = [f"_key{i}" for i in range(len(keys))]
+    doc = Window.partitionBy(*own, "_tk")
+    before = doc.orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    named = removed.select(*(F.col(k).alias(o) for k, o in zip(keys, own)), F.col("text_key").alias("_tk"), "start", "end", "words", "kept_id", "kept_start")
+    outer = named.withColumn("_upto", F.max("end").over(before)).where("_upto is null or end > _upto")
+    spans = outer.groupBy(*own, "_tk").agg(F.array_sort(F.collect_list(F.struct("start", "end", "words", F.col("kept_id").alias(f"kept_{id_col}"), "kept_start"))).alias("_spans"))
     size = F.length(F.coalesce(F.col(text_col), F.lit(""))).cast("long")
-    cuts = F.coalesce(F.col("_spans"), F.array().cast("array<struct<start:bigint,end:bigint>>"))
+    cuts = F.coalesce(F.col("_spans"), F.array().cast(spans.schema["_spans"].dataType))
     starts = F.concat(F.array(F.lit(0).cast("long")), F.transform(cuts, lambda s: s["end"]))
     ends = F.concat(F.transform(cuts, lambda s: s["start"]), F.array(size))
     kept = F.filter(F.transform(F.arrays_zip(starts.alias("start"), ends.alias("end")), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))), lambda s: s["end"] > s["start"])
     text = F.array_join(F.transform(F.col("kept_spans"), lambda s: F.substring(F.col(text_col), (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))), "")
-    return (docs.join(spans, F.col(id_col).eqNullSafe(F.col("_id")), "left").withColumn("kept_spans", kept).withColumn(text_col, F.when(F.col(text_col).isNotNull(), text))
-            .select(*docs.columns, "kept_spans"))
+    same = _text_key(text_col) == F.col("_tk")
+    for k, o in zip(keys, own):
+        same = same & F.col(k).eqNullSafe(F.col(o))
+    out = docs.join(spans, same, "left").withColumn("kept_spans", kept).withColumn("_text", F.when(F.col(text_col).isNotNull(), text))
+    return out.select(*(F.col("_text").alias(c) if c == text_col else F.col(c) for c in docs.columns), "kept_spans", *([cuts.alias(spans_col)] if spans_col else []))

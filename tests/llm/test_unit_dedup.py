@@ -85,3 +85,42 @@ def test_planted_lines_and_passages(spark):
     assert left == {None: SHORT, 1: PLANTED[0][1].removeprefix(SHORT), 2: "Something else that nobody wrote before.\n\nA tail of its own, not repeated.",
                     3: "A new start of the line here. And then a very different end.", 4: "", 5: PLANTED[4][1], 6: "Before the planted lines of six.\n\n",
                     7: PLANTED[6][1], 8: "Go. Go. Go. Go. Go. ", 10: ""}
+
+
+def test_spans_belong_to_id_and_text(spark):
+    """Null ids, and texts that share an id, lose their own spans only; overlapping spans are cut once."""
+    here, there = "Alpha beta gamma delta epsilon.", "Zeta eta theta iota kappa."
+    rows = [(None, f"{here}\nNull one."), (None, f"Null two is here. {there} {here}"), (5, f"Five a of its own words. {there}"), (5, f"{here} {there}\nFive b of its own words!"), (5, f"{here} {there}\nFive b of its own words!"), (6, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    removed = unit_dedup.repeated_units(df, unit="passage")
+    got = unit_dedup.remove_units(df, removed, spans_col="removed_spans").collect()
+    assert len(got) == len(rows)
+    texts = sorted(r["text"] or "" for r in got)
+    assert "".join(texts).count("Alpha") == 1 and "".join(texts).count("Zeta") == 1
+    for own in ("Null one.", "Null two is here.", "Five a of its own words."):
+        assert sum(own in t for t in texts) == 1
+    assert sum("Five b of its own words!" in t for t in texts) == 2
+    for r in got:
+        if r["text"] is None:
+            assert (r["kept_spans"], r["removed_spans"]) == ([], [])
+            continue
+        assert any(k == r["doc_id"] and "".join(t[s["start"]:s["end"]] for s in r["kept_spans"]) == r["text"] for k, t in rows)
+        for s in r["removed_spans"]:
+            assert all(s["end"] <= k["start"] or k["end"] <= s["start"] for k in r["kept_spans"])
+
+
+def test_passages_query_gives_every_document(spark):
+    from salesabc.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    got = QUERIES["op9_repeated_passages"](spark, sf).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(texts)
+    for r in got:
+        gone = {i for s in r["removed_spans"] for i in range(s["start"], s["end"])}
+        assert r["text"] == "".join(c for i, c in enumerate(texts[r["doc_id"]]) if i not in gone)
+        assert r["text"] == "".join(texts[r["doc_id"]][s["start"]:s["end"]] for s in r["kept_spans"])
+    left = [m.group() for r in sorted(got, key=lambda r: r["doc_id"]) for m in re.finditer(r"[^\n]+", r["text"])]
+    own = [tuple(re.findall(r"[^\W_]+", t.lower())) for t in left]
+    own = [w for w in own if len(w) >= 5]
+    assert len(own) == len(set(own))
