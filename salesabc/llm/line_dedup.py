@@ -1,13 +1,13 @@
-"""Line de-duplication by winnowing, in DataFrame functions alone.
+"""Line de-duplication by full hashing of line windows, in DataFrame functions alone.
 
 A window is the shortest run of lines from a line on (or back from a line)
 with at least ``threshold`` characters, so any repeated run of that size holds
-a whole window.  The least line hash of a window is its fingerprint; equal
-runs select equal fingerprints.  Fingerprints at more than one place lead to
-candidate windows; windows with the same lines are matched to the earliest of
-them, and since windows reach out from every line in both directions, the
-matched ones together cover each repeated run to its ends.  Later runs are
-deleted, the earliest stays.
+a whole window.  Every window is hashed with all its lines: this is not
+winnowing, no sparse fingerprints are selected.  The least line hash of a
+window (its mark) only narrows the candidates and changes no result.  Windows
+with the same lines are matched to the earliest of them, and since windows
+reach out from every line in both directions, the matched ones together cover
+each repeated run to its ends.  Later runs are deleted, the earliest stays.
 
 So a line goes exactly if it lies in a run of at least ``threshold``
 characters (each line counted with its break) that occurs at an earlier
@@ -35,7 +35,7 @@ def _normal(line: Column) -> Column:
 
 
 def windows(docs: DataFrame, id_col: str, text_col: str, threshold: int) -> DataFrame:
-    """(id, tk, first, last, gram, mark): every window with the hash of its lines and its fingerprint.
+    """(id, tk, first, last, gram, mark): every window with the hash of its lines and its least line hash.
 
     ``tk`` tells texts under the same id apart.  Window frames hold at most
     ``threshold`` lines, as each line counts at least one character.
@@ -60,11 +60,11 @@ def windows(docs: DataFrame, id_col: str, text_col: str, threshold: int) -> Data
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """(id, tk, line) of every line to delete."""
     found = written(windows(docs, id_col, text_col, threshold), "line-windows")
-    # Fingerprints at more than one place; combined before the shuffle.
+    # Marks at more than one place; combined before the shuffle.
     place = F.struct("id", "tk", "first")
     marks = written(found.groupBy(F.col("mark").alias("_mark")).agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo < hi").select("_mark"), "line-marks")
     candidates = found.join(marks, F.col("mark") == F.col("_mark"), "left_semi")
-    # Extend: windows around a shared fingerprint that agree in all their lines meet at the earliest of them.
+    # Windows that agree in all their lines meet at the earliest of them.
     earliest = written(candidates.groupBy(F.col("gram").alias("_gram")).agg(F.min(place).alias("_kept"), F.max(place).alias("_last")).where("_kept < _last").select("_gram", "_kept"), "line-grams")
     later = found.join(earliest, F.col("gram") == F.col("_gram")).where(place > F.col("_kept"))
     return later.select("id", "tk", F.explode(F.sequence("first", "last")).alias("line")).distinct()
