@@ -1,19 +1,19 @@
 """Toxicity by weak supervision.
 
-Voters: a fixed lexicon, lexicons mined from labelled rows (whole words, word
-beginnings and endings that mark toxic rows), and text patterns.  A generative
+Voters: a fixed lexicon, three lexicons mined from labelled rows (whole words,
+word beginnings and endings that mark toxic rows), and text patterns.  A generative
 label model over the voters' firing patterns estimates, by EM, how often each
 voter fires on either class and how voters correlate beyond the class; it sees
 a given label as one more voter.  A linear classifier is then trained on the
 model's posterior labels and scores every document.
 
-What covers all data: the voters' firing patterns and the scores.  What is
-fitted on a bounded sample: the mined terms and the classifier's weights
+What covers all data: the voters' firing patterns, of held-out rows and null
+ids too, without labels, and the scores.  What is fitted on a bounded sample: the mined terms and the classifier's weights
 (``fit_rows`` rows each, chosen by a hash of the id).  The pattern table has at
 most 3 * 2^voters rows at every size.
 
 Defined cases: a null text is empty and scores like any text without a hit; a
-null id is kept and never used for fitting; repeated rows are scored alike;
+null id is kept, counts as unlabelled and trains no weights; repeated rows are scored alike;
 rows without a label only feed the posterior; with no labels at all the fixed
 lexicon and the patterns decide; an empty table gives an empty result; extra
 columns are ignored.
@@ -36,7 +36,7 @@ MAX_TERMS = 512
 #: General insults that start the first voter (fixed values).
 SEED_LEXICON = ("idiot", "idiots", "moron", "morons", "stupid", "scum", "trash", "loser", "losers", "pathetic",
                 "worthless", "disgusting", "clown", "imbecile", "garbage", "vermin", "dumb", "retard", "filth", "hate you")
-MINED_VOTERS = 5
+MINED_VOTERS = 3  # whole words, beginnings, endings
 VOTERS = 1 + MINED_VOTERS + 4
 _SPACED = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
 _UPPER = bytes(range(65, 91))
@@ -149,13 +149,22 @@ def text_hits(docs: DataFrame, id_col: str, text_col: str, terms: list[str], kee
     return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text"), *keep).mapInArrow(run, schema)
 
 
-def votes(n_seed: int) -> Column:
-    """The firing pattern as bits of one integer: bit 0 fixed lexicon, 1-5 mined lexicons, then four patterns."""
-    def mined_fires(v):
-        return F.exists("found", lambda t: (t >= n_seed) & ((t - n_seed) % MINED_VOTERS == v))
+def term_voter(term: str) -> int:
+    """The mined voter of a term: 0 whole words, 1 beginnings, 2 endings."""
+    return 2 if term[0] != " " else 0 if term[-1] == " " else 1
 
-    mined = [mined_fires(v) for v in range(MINED_VOTERS)]
-    fires = [F.exists("found", lambda t: t < n_seed), *mined, F.col("hits") >= 2, F.col("hits") * 200 > F.col("words"),
+
+def votes(n_seed: int, mined: list[str]) -> Column:
+    """The firing pattern as bits of one integer: bit 0 fixed lexicon, 1-3 mined words, beginnings, endings, then four patterns.
+
+    ``mined`` has the terms behind the first ``n_seed``, sorted by voter.
+    """
+    ends = [n_seed + sum(term_voter(t) < v for t in mined) for v in range(MINED_VOTERS + 1)]
+
+    def fires_from(low, high):
+        return F.exists("found", lambda t: (t >= low) & (t < high))
+
+    fires = [F.exists("found", lambda t: t < n_seed), *(fires_from(*b) for b in zip(ends, ends[1:])), F.col("hits") >= 2, F.col("hits") * 200 > F.col("words"),
              F.col("upper") > 0.4, F.col("symbols") > 0.15]
     out = F.lit(0)
     for i, fire in enumerate(fires):
@@ -292,9 +301,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "d
     fit = own.where(F.col("_learn") & sampled).join(given.where(sampled), id_col).select("text", "label")
     terms = [f" {_term(w)} " for w in SEED_LEXICON]
     n_seed = len(terms)
-    terms += [t for t in mine_terms(written(fit, "fit")) if t not in terms] if n else []
-    narrow = written(text_hits(own, id_col, "text", terms, ["_learn", *along]).withColumn("pattern", votes(n_seed)), "hits")
-    labelled = narrow.where("_learn").join(given, id_col, "left").withColumn("label", F.coalesce("label", F.lit(-1)))
+    mined = sorted((t for t in mine_terms(written(fit, "fit")) if t not in terms), key=term_voter) if n else []
+    terms += mined
+    narrow = written(text_hits(own, id_col, "text", terms, ["_learn", *along]).withColumn("pattern", votes(n_seed, mined)), "hits")
+    # Labels are of rows that may be learned from only; all others count as unlabelled.
+    labelled = narrow.join(given, id_col, "left").withColumn("label", F.coalesce("label", F.lit(-1)))
     table = labelled.groupBy("pattern", "label").count().collect()  # at most 3 * 2^voters rows
     weights = np.zeros(len(terms) + 6)
     if table:
@@ -302,7 +313,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "d
         model = LabelModel(VOTERS).fit(pattern, label, count.astype(float))
         total = int(count.sum())
         share = int(min(1.0, fit_rows / total) * 1_000_000)
-        rows = (labelled.where((F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < share) | ((F.col("label") >= 0) & sampled))
+        rows = (labelled.where(F.col(id_col).isNotNull() & ((F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < share) | ((F.col("label") >= 0) & sampled)))
                 .orderBy(F.xxhash64(id_col)).limit(2 * fit_rows).select("found", "hits", "words", "upper", "symbols", "pattern", "label").toPandas())
         x = design(rows["found"].tolist(), *(rows[c].to_numpy() for c in ("hits", "words", "upper", "symbols")), len(terms))
         weights = fit_linear(x, model.posterior(rows["pattern"].to_numpy(), rows["label"].to_numpy()))

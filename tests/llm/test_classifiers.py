@@ -78,6 +78,22 @@ def test_seed_lexicon_alone(spark):
     assert min(got[100 + i] for i in range(10)) > max(got[i] for i in range(80))
 
 
+def test_patterns_of_all_rows_count(spark):
+    """Rows that give no labels still feed the label model."""
+    docs = spark.createDataFrame([(i, f"fine words here number {i}") for i in range(80)] + [(100 + i, "you stupid idiot, pathetic moron and scum") for i in range(10)] + [(None, "fine words without an id")], "doc_id long, text string")
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    got = toxicity.toxicity(docs, none, F.lit(False)).collect()
+    assert len(got) == 91
+    assert min(r["score"] for r in got if (r["doc_id"] or 0) >= 100) > max(r["score"] for r in got if (r["doc_id"] or 0) < 100)
+
+
+def test_mined_voters_by_kind(spark):
+    mined = [" alpha ", " beta ", " gamm", "elta "]
+    found = [([0], 1), ([1], 2), ([2], 2), ([3], 4), ([4], 8), ([1, 4], 2 | 8), ([], 0)]
+    rows = spark.createDataFrame([(f, 1, 1000, 0.0, 0.0, want) for f, want in found], "found array<int>, hits long, words long, upper double, symbols double, want int")
+    assert all(r["got"] == r["want"] for r in rows.withColumn("got", toxicity.votes(1, mined)).collect())
+
+
 def test_quality_held_out(spark, labels):
     from salesabc.llm.queries import QUERIES
 
