@@ -3,17 +3,19 @@
 The content view sees hashed words and hashed word shapes; the metadata view
 sees the page's language, source and size, and layout figures (lines, their
 lengths, character classes, repetition).  Both start from a bounded sample of
-labelled rows.  In every round each view scores all unlabelled documents and
+labelled rows.  In every round each view scores all documents outside it and
 hands its most confident ones to the other view as pseudo-labels; at the end
 both are calibrated on labelled rows that were kept aside, and their
 log-odds are added up by a small logistic model.  Every document is scored.
 
 Bounds: ``fit_rows`` labelled rows (chosen by a hash of the id) and ``picks``
 pseudo-labels a class, view and round; the pool from which they are picked is
-the whole table, and each task hands on its own best ones only.
+every document outside the sample (held-out ones, those with labels beyond it
+and null ids too, by their texts alone), and each task hands on its own best
+ones only.
 
 Defined cases: a null text is empty; null metadata is a value of its own; rows
-without an id are scored but never used for fitting; repeated rows are
+without an id are scored and never have a label; repeated rows are
 scored alike; without labels of both classes every score is the share of label
 1 (a half without any); an empty table gives an empty result; extra columns
 are ignored.
@@ -136,7 +138,7 @@ def _best_of_all(pool: DataFrame, views: list[np.ndarray], picks: int) -> list[l
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["kind", "sure", "tie", "content", "meta"])
 
-    tops = written(pool.select(F.xxhash64("_key").alias("tie"), "content", "meta").mapInArrow(best, "kind long, sure double, tie long, content binary, meta binary"), "confident")
+    tops = written(pool.select(F.xxhash64("_key", "content", "meta").alias("tie"), "content", "meta").mapInArrow(best, "kind long, sure double, tie long, content binary, meta binary"), "confident")
     return [tops.where(F.col("kind") == k).orderBy(F.col("sure").desc(), "tie").limit(picks).collect() for k in range(4)]
 
 
@@ -167,7 +169,7 @@ def co_train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "d
                 y = np.concatenate([label[~aside], [c for _, c in extra[v]]])
                 views[v] = fit_logistic(np.concatenate([x[v][~aside], more]), y, np.concatenate([np.ones((~aside).sum()), np.full(len(extra[v]), 0.5)]))
             if k < rounds:
-                pool = table.where("_learn").join(given, id_col, "left_anti").withColumn("_key", F.col(id_col))
+                pool = table.join(given.where(hashed < share), id_col, "left_anti").withColumn("_key", F.col(id_col))
                 tops = _best_of_all(pool, views, picks)
                 for v in (0, 1):  # a view learns from what the other one is sure of
                     extra[v] += [((r["content"], r["meta"])[v], cls) for cls in (0, 1) for r in tops[2 * (1 - v) + cls] if r["sure"] > 2]

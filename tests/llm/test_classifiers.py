@@ -105,6 +105,26 @@ def test_quality_held_out(spark, labels):
     assert np.mean([r["predicted"] == y for r, y in test]) > 0.95
 
 
+def test_pool_is_all_outside_the_sample(spark, monkeypatch):
+    """A table labelled throughout still has a pool; held-out rows and null ids are in it."""
+    pools, best = [], cotraining._best_of_all
+
+    def spy(pool, views, picks):
+        pools.append({r["doc_id"] for r in pool.select("doc_id").collect()})
+        return best(pool, views, picks)
+
+    monkeypatch.setattr(cotraining, "_best_of_all", spy)
+    words = ("plain calm prose of good length", "BUY!!! $$$ 999 CLICK")
+    docs = spark.createDataFrame([(i, f"{words[i % 2]} {i}", "en", "web") for i in range(200)] + [(None, "no id", "en", "web")], "doc_id long, text string, lang string, source string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(200)], "doc_id long, quality int")
+    rows = cotraining.co_train(docs, labels, F.col("doc_id") % 5 != 1, fit_rows=80, rounds=1, picks=5).collect()
+    share = int(80 / 160 * 1_000_000)
+    hashed = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
+    fitted = {r["doc_id"] for r in labels.where((F.col("doc_id") % 5 != 1) & (hashed < share)).collect()}
+    assert len(rows) == 201 and pools == [set(range(200)) - fitted | {None}]
+    assert 0 < len(fitted) < 160
+
+
 def test_quality_awkward(spark, awkward, nothing):
     labels = spark.createDataFrame([(i, i % 2) for i in range(20)] + [(3, None), (None, 1)], "doc_id long, quality int").withColumn("content", F.lit("clash"))
     for given in (labels, labels.where("quality = 1"), labels.where("quality > 5")):
