@@ -4,6 +4,7 @@ Runs the main queries at $BENCH_SF_DIR (default /root/testdata/sf0.1) on
 local[$BENCH_CPUS].  Each query is fully executed with a no-op sink (no
 result transfer to the driver); the value is the sum of the query times.
 build_sec is the part of each time that passes before the final action.
+landing_sec is the time to land the feed, which no query's time contains.
 """
 
 from __future__ import annotations
@@ -27,9 +28,11 @@ def main() -> None:
     from salesabc.session import get_spark
     spark = get_spark(f"local[{cpus}]", app="salesabc-bench", shuffle_partitions=int(cpus) * 2)
     spark.sparkContext.setLogLevel("ERROR")
-    # Warm-up: JVM, code paths and file listing, on the smallest query; the feed is landed once, as an input.
+    # Warm-up: JVM, code paths and file listing, on the smallest query; the feed is landed once, as an input, timed apart.
     QUERIES["catalog_agg"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    t0 = time.perf_counter()
     landed_feed(spark, sf_dir)
+    landing = round(time.perf_counter() - t0, 3)
     times, build = {}, {}
     for name in HEADLINE:
         t0 = time.perf_counter()
@@ -39,7 +42,7 @@ def main() -> None:
         times[name] = round(time.perf_counter() - t0, 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "build_sec": build, "sf": sf}))
+                      "unit": "sec", "queries": times, "build_sec": build, "landing_sec": landing, "sf": sf}))
 
 
 if __name__ == "__main__":
