@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cotraining, decontam, fingerprint, line_dedup, lm, packing, simhash_dup, toxicity, trie, unit_dedup, warc, whitening
+from . import cotraining, decontam, fingerprint, line_dedup, lm, ngram_join, packing, simhash_dup, toxicity, trie, unit_dedup, warc, whitening
 from .common import table
 
 
@@ -68,6 +68,10 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {"op1_best_fit_packing": op1_best_fit_packing,
            "op2_warc": op2_warc,
            "op3_quality_classifier": op3_quality_classifier,
@@ -80,6 +84,7 @@ QUERIES = {"op1_best_fit_packing": op1_best_fit_packing,
            "op9_repeated_passages": op9_repeated_passages,
            "op10_simhash_near_dedup": op10_simhash_near_dedup,
            "op11_embedding_whitening": op11_embedding_whitening,
-           "op12_conversation_trie": op12_conversation_trie}
+           "op12_conversation_trie": op12_conversation_trie,
+           "op13_ngram_jaccard_join": op13_ngram_jaccard_join}
 #: Queries that SQL can express; the tests hold the others against brute-force versions.
-ORACLE: dict[str, str] = {"op7_line_dedup": line_dedup.ORACLE, "op12_conversation_trie": trie.ORACLE}
+ORACLE: dict[str, str] = {"op7_line_dedup": line_dedup.ORACLE, "op12_conversation_trie": trie.ORACLE, "op13_ngram_jaccard_join": ngram_join.ORACLE}

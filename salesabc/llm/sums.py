@@ -22,14 +22,14 @@ def unpacked(size: int, vector: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(pa.decompress(vector, size, codec=_CODEC, asbytes=True), kind)
 
 
-def summed(parts: DataFrame, kind: str) -> dict[int, np.ndarray]:
-    """The sum of all vectors of each key, on the driver.
+def summed(parts: DataFrame, kind: str, add: np.ufunc = np.add) -> dict[int, np.ndarray]:
+    """The sum (or another reduction) of all vectors of each key, on the driver.
 
     The callers' keys and vectors are as many and as long whatever the input's
     size.  A task holds one running sum, however many rows a key has.
     """
 
-    def add(batches):
+    def run(batches):
         key, total = None, None
         for batch in batches:
             for k, size, vector in zip(*(batch.column(i).to_pylist() for i in range(3))):
@@ -37,11 +37,11 @@ def summed(parts: DataFrame, kind: str) -> dict[int, np.ndarray]:
                 if k != key:
                     if key is not None:
                         yield packed(key, total)
-                    key, total = k, own.copy()
+                    key, total = k, own
                 else:
-                    total += own
+                    total = add(total, own)
         if key is not None:
             yield packed(key, total)
 
-    rows = parts.repartition("key").sortWithinPartitions("key").mapInArrow(add, SCHEMA).collect()
+    rows = parts.repartition("key").sortWithinPartitions("key").mapInArrow(run, SCHEMA).collect()
     return {r["key"]: unpacked(r["size"], r["vector"], kind) for r in rows}
