@@ -751,6 +751,19 @@ ORACLE["settlement_files"] = ORACLE["settlement_agg"]
 ORACLE["settlement_files_uneven"] = ORACLE["settlement_agg"].replace("CAST(l_discount AS DECIMAL(18,3)) AS cupom", "CASE WHEN l_returnflag = 'R' THEN 0 ELSE CAST(l_discount AS DECIMAL(18,3)) END AS cupom")
 ORACLE["markdown_roundtrip"] = ORACLE["sales_fact"]
 ORACLE["fact_full_replace"] = ORACLE["sales_fact"]
+ORACLE["fact_publish_recovery"] = ORACLE["sales_fact"]
+ORACLE["feed_rejects"] = """
+WITH placed AS (
+  SELECT strftime(o_orderdate, '%Y-%m-%d') AS dia, CAST(strftime(o_orderdate, '%d') AS INT) AS d, o_orderkey,
+    (row_number() OVER (PARTITION BY o_orderdate ORDER BY o_orderkey) - 1) // 50 AS pg
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+), items AS (
+  SELECT dia, count(*) AS n FROM placed JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
+  WHERE pg = 0 AND d % 5 = 0 AND d % 7 <> 0 GROUP BY dia
+)
+SELECT dia, count(DISTINCT pg) - (CASE WHEN any_value(d) % 7 = 0 THEN 1 ELSE 0 END) AS paginas_recebidas,
+  CAST(CASE WHEN any_value(d) % 7 = 0 THEN 1 ELSE 0 END AS BIGINT) AS paginas_ilegiveis, coalesce(any_value(items.n), 0) AS quantidades_nulas
+FROM placed LEFT JOIN items USING (dia) GROUP BY dia"""
 
 ORACLE["month_replace"] = f"""
 WITH {run_ctes(AS_OF)}, {run_ctes(_as_of(31), prefix='rerun', shared=False)},

@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,7 +22,7 @@ from salesabc.functions import business, dates, numeric
 from salesabc.functions import text as text_fn
 from salesabc.operators import catalog, clean, consolidate, pareto, quality, settlement
 from salesabc.plans import jobs, sales_run
-from salesabc.sinks import writers
+from salesabc.sinks import published, writers
 from salesabc.sources import catalog_sources, files, order_feed
 from salesabc.sources import testviews as tv
 
@@ -282,6 +283,23 @@ def page_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_feed.page_completeness(_feed_pages(spark, sf_dir), config.FEED_PAGE_SIZE)
 
 
+@query
+def feed_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed with cut pages and void quantities: what was refused by day, and what was received all the same (Q4, Q5)."""
+    path = _scratch(spark, "feed-rejects")
+    day, first = F.substring("dia", 9, 2).cast("int"), F.col("pg") == 0
+    pages = tv.order_pages_text(spark, sf_dir)
+    damaged = (F.when(first & (day % 7 == 0), F.expr("substring(value, 1, length(value) div 2)"))
+                .when(first & (day % 5 == 0), F.regexp_replace("value", r'"quantity":\d+', '"quantity":null')).otherwise(F.col("value")))
+    (pages.withColumn("value", damaged).repartition("dia").sortWithinPartitions("dia", "pg").select("dia", "value")
+        .write.mode("overwrite").partitionBy("dia").text(path))
+    found = order_feed.read_pages(spark, path)
+    refused = order_feed.feed_rejects(found).groupBy("dia").agg(F.count_if(F.col("motivo") == "pagina_ilegivel").alias("paginas_ilegiveis"),
+                                                                F.count_if(F.col("motivo") == "quantidade_nula").alias("quantidades_nulas"))
+    return (order_feed.page_completeness(found).select("dia", "paginas_recebidas").join(refused, "dia", "left")
+            .fillna(0, ["paginas_ilegiveis", "quantidades_nulas"]))
+
+
 # --- Scalar functions ------------------------------------------------------------------------------
 
 @query
@@ -465,7 +483,24 @@ def fact_full_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = _run(spark, sf_dir, AS_OF).fact
     writers.write_fact_full(consolidate.month_filter(fact, 1998, 2), path)
     writers.write_fact_full(fact, path)
-    return interchange(spark.read.parquet(path))
+    return interchange(writers.read_table(spark, path))
+
+
+@query
+def fact_publish_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job that dies while it writes leaves the fact as published before (K2)."""
+    path = _scratch(spark, "fact-published")
+    fact = _run(spark, sf_dir, AS_OF).fact
+    writers.write_fact_full(fact, path)
+    stored = writers.read_table(spark, path)
+    dying = stored.withColumn("sku", F.when(F.col("quantidade") > 45, F.raise_error(F.lit("job lost"))).otherwise(F.lit("another")))
+    try:
+        writers.write_fact_full(dying, path)
+    except PySparkException:
+        pass
+    else:
+        raise AssertionError("the second job was to fail")
+    return interchange(writers.read_table(spark, path))
 
 
 @query
@@ -476,12 +511,11 @@ def month_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     writers.write_fact_months(_run(spark, sf_dir, AS_OF).fact, path)
     rerun = _run(spark, sf_dir, dt.date(1998, 3, 31)).fact
     writers.write_fact_months(consolidate.month_filter(rerun, 1998, 3), path)
-    return interchange(spark.read.parquet(path).select(*[F.col(f"`{c}`") for c in config.FACT_COLUMNS]))
+    return interchange(writers.read_table(spark, path).select(*[F.col(f"`{c}`") for c in config.FACT_COLUMNS]))
 
 
 def _read_curves(spark: SparkSession, path: str) -> DataFrame:
-    out = spark.read.parquet(path)
-    return out.withColumns({"tabela": F.col("tabela").cast("string"), "mes": F.col("mes").cast("string")})
+    return writers.read_table(spark, path)
 
 
 @query
@@ -508,7 +542,7 @@ def month_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The current month's processed rows through the sink (K6)."""
     path = _scratch(spark, "month-export")
     writers.export_month(_run(spark, sf_dir, AS_OF).enriched, path, AS_OF.year, AS_OF.month)
-    out = spark.read.parquet(path)
+    out = writers.read_table(spark, path)
     assert "origem_dados" not in out.columns
     return interchange(out.select("numero_pedido", "sku", "data_do_pedido", "hora_do_pedido", "rastreio",
                                   "quantidade", "custo_unitario", "custo_total_produto", "source_rank"))
@@ -556,7 +590,7 @@ def sales_job_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole sales job from landed files to the stored fact (entry A)."""
     out = _scratch(spark, "sales-job")
     stages = jobs.sales_job(spark, land_inputs(spark, sf_dir), out, AS_OF, PROFILE)
-    return interchange(spark.read.schema(stages.fact.schema).parquet(f"{out}/fact"))
+    return interchange(writers.read_table(spark, f"{out}/fact"))
 
 
 @query

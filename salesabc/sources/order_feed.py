@@ -49,22 +49,47 @@ PAGE = T.StructType([
 
 
 DAY_DIR = "dia"
+CORRUPT = "rejeitado"
+FILE_ORDER_TYPE = "struct<f:string,b:bigint,r:bigint>"
+
+
+#: Longest window whose day folders are looked up one by one; a longer one lists the feed.
+LOOKED_UP_DAYS = 100
+
+
+def window_folders(spark: SparkSession, path: str, lo: dt.date, hi: dt.date) -> list[str]:
+    """The day folders of an inclusive window that are there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    days = [(lo + dt.timedelta(n)).isoformat() for n in range((hi - lo).days + 1)]
+    found = [f"{path.rstrip('/')}/{DAY_DIR}={d}" for d in days]
+    return [f for f in found if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f))]
 
 
 def read_pages(spark: SparkSession, path: str, lo: dt.date | None = None, hi: dt.date | None = None) -> DataFrame:
     """Landed pages, one folder ``dia=yyyy-MM-dd`` per day of order creation.
 
-    Only the folders of the inclusive window are read.  Pages carry no number
+    Only the folders of the inclusive window are read, and only they are
+    listed; a day without a folder has no pages.  Pages carry no number
     of their own: a page is known by its file and its place in it, and that
-    order decides which of two lines is the later one.
+    order decides which of two lines is the later one.  A page that is no
+    whole JSON document has its text in ``rejeitado`` and no orders.
     """
-    pages = spark.read.schema(PAGE).option("mode", "PERMISSIVE").json(path)
-    day = F.col(DAY_DIR).cast("string")
+    schema = T.StructType([*PAGE.fields, T.StructField(CORRUPT, T.StringType()), T.StructField(DAY_DIR, T.StringType())])
+    reader = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("basePath", path)
+    if lo is not None and hi is not None and (hi - lo).days < LOOKED_UP_DAYS:
+        folders = window_folders(spark, path, lo, hi)
+        if not folders:
+            return spark.createDataFrame([], f"{DAY_DIR} string, total long, orders {PAGE['orders'].dataType.simpleString()}, {CORRUPT} string, page {FILE_ORDER_TYPE}")
+        pages = reader.json(folders)
+    else:
+        pages = reader.json(path)
+    day = F.col(DAY_DIR)
     if lo is not None:
         pages = pages.where(day >= lo.isoformat())
     if hi is not None:
         pages = pages.where(day <= hi.isoformat())
-    return pages.select(day.alias(DAY_DIR), "total", "orders", file_order().alias("page"))
+    return pages.select(DAY_DIR, "total", "orders", CORRUPT, file_order().alias("page"))
 
 
 def parse_pages(text: DataFrame, col: str = "value") -> DataFrame:
@@ -133,8 +158,11 @@ def feed_rows(pages: DataFrame, lo: dt.date | None = None, hi: dt.date | None =
 
 
 def page_completeness(pages: DataFrame, page_size: int = config.FEED_PAGE_SIZE) -> DataFrame:
-    """Landed pages of each day against the order count the feed announced for it."""
-    agg = pages.groupBy(DAY_DIR).agg(F.max("total").alias("total"), F.count("*").alias("paginas_recebidas"),
+    """Landed pages of each day against the order count the feed announced for it.
+
+    A page without readable orders (cut, or no JSON) is not received.
+    """
+    agg = pages.groupBy(DAY_DIR).agg(F.max("total").alias("total"), F.count("orders").alias("paginas_recebidas"),
                                      F.sum(F.size(F.coalesce(F.col("orders"), F.array()))).alias("pedidos_recebidos"))
     expected = F.ceil(F.col("total") / F.lit(page_size)).cast("long")
     return agg.select(
@@ -150,6 +178,24 @@ def page_completeness(pages: DataFrame, page_size: int = config.FEED_PAGE_SIZE)
     )
 
 
+def feed_rejects(pages: DataFrame) -> DataFrame:
+    """What the feed could not give, with its place: (dia, arquivo, bloco, linha, motivo, numero_pedido, sku, texto).
+
+    ``pagina_ilegivel``: the text of a page that is no whole JSON document;
+    ``campo_ilegivel``: that of a page with a field of another type, which is
+    null while the rest counts; ``quantidade_nula``: an item without a
+    quantity, which is sold as 0.
+    """
+    place = [F.col(DAY_DIR), F.col("page.f").alias("arquivo"), F.col("page.b").alias("bloco"), F.col("page.r").alias("linha")]
+    none = F.lit(None).cast("string")
+    cut = pages.where(F.col(CORRUPT).isNotNull()).select(*place, F.when(F.col("orders").isNull(), "pagina_ilegivel").otherwise("campo_ilegivel").alias("motivo"), none.alias("numero_pedido"), none.alias("sku"),
+                                                         F.col(CORRUPT).alias("texto"))
+    items = pages.select(*place, F.explode("orders").alias("o")).select(DAY_DIR, "arquivo", "bloco", "linha", F.col("o.id").alias("numero_pedido"), F.explode("o.order_items").alias("it"))
+    void = items.where(F.col("it.quantity").isNull()).select(DAY_DIR, "arquivo", "bloco", "linha", F.lit("quantidade_nula").alias("motivo"), "numero_pedido",
+                                                             F.col("it.item.seller_custom_field").alias("sku"), none.alias("texto"))
+    return cut.unionByName(void)
+
+
 def order_sample(pages: DataFrame, as_of: dt.date, n: int = 10) -> DataFrame:
     """The first ``n`` orders of the month up to ``as_of``, with their items.
 
