@@ -810,6 +810,11 @@ SELECT * FROM ({_table_rows(run_ctes(AS_OF), 'run_fact')}) WHERE mes <> '1998-03
 UNION ALL
 SELECT * FROM ({_table_rows(run_ctes(_as_of(31)), 'run_fact')}) WHERE mes = '1998-03'"""
 
+ORACLE["fact_incremental_refresh"] = ORACLE["sales_fact"]
+ORACLE["pareto_incremental"] = _table_rows(run_ctes(AS_OF), "run_fact")
+ORACLE["pareto_from_partials"] = ORACLE["pareto_from_fact"]
+ORACLE["job_report"] = ORACLE["load_quality"]
+
 ORACLE["rolling_refresh_no_sheet"] = f"""
 WITH {SALES_LINES}, {FEED_LINES},
 run_union AS (

@@ -590,7 +590,43 @@ def sales_job_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole sales job from landed files to the stored fact (entry A)."""
     out = _scratch(spark, "sales-job")
     stages = jobs.sales_job(spark, land_inputs(spark, sf_dir), out, AS_OF, PROFILE)
-    return interchange(writers.read_table(spark, f"{out}/fact"))
+    return interchange(writers.read_table(spark, f"{out}/fact").select(*[F.col(f"`{c}`") for c in config.FACT_COLUMNS]))
+
+
+def _refreshed(spark: SparkSession, sf_dir: str) -> str:
+    """The tables of a run on the day before, brought up to the day."""
+    out, landed = _scratch(spark, "refresh"), land_inputs(spark, sf_dir)
+    jobs.sales_job(spark, landed, out, AS_OF - dt.timedelta(days=1), PROFILE, markdown=False)
+    jobs.refresh_job(spark, landed, out, AS_OF, PROFILE)
+    return out
+
+
+@query
+def fact_incremental_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored fact brought up to a later day equals that day's full run."""
+    return interchange(writers.read_table(spark, f"{_refreshed(spark, sf_dir)}/fact").select(*[F.col(f"`{c}`") for c in config.FACT_COLUMNS]))
+
+
+@query
+def pareto_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The curves after a refresh: touched months from their kept totals, the others as published (A3, A5, K5)."""
+    return _read_curves(spark, f"{_refreshed(spark, sf_dir)}/pareto")
+
+
+@query
+def pareto_from_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All curves from kept monthly store totals (A3, A5)."""
+    path = _scratch(spark, "partials")
+    jobs.store_partials(_run(spark, sf_dir, AS_OF).fact, path)
+    return interchange(jobs.curves_from_partials(spark, path, None, PROFILE))
+
+
+@query
+def job_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts that the job observed while it wrote."""
+    out = _scratch(spark, "report-job")
+    jobs.sales_job(spark, land_inputs(spark, sf_dir), out, AS_OF, PROFILE, markdown=False)
+    return writers.read_table(spark, f"{out}/report")
 
 
 @query

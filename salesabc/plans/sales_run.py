@@ -70,24 +70,30 @@ def run_sales(inputs: RunInputs, as_of: dt.date, profile: Profile = config.DEFAU
         sources["feed"] = tag_source(prepared(feed_rows(inputs.feed_pages(lo, hi), lo, hi)), 2, "Feed")
     parts = [v for k, v in sources.items() if k != "current_sheet_loaded"]
     union = union_sources(parts)
-    settlement = _settlement_or_empty(inputs, union)
+    settlement = inputs.settlement if inputs.settlement is not None else _no_settlement(union)
 
-    def with_costs(df: DataFrame) -> DataFrame:
-        return join_catalog(df, inputs.catalog) if inputs.catalog is not None else df
-
-    # Both joins have one row per key on their build side, so they commute with
-    # keep-last; it runs first, on rows without the catalogue's columns.  The
-    # stages before keep-last stay available for exports and checks.
-    enriched = with_costs(union)
+    # The stages before keep-last stay available for exports and checks.
+    enriched = with_costs(union, inputs.catalog)
     settled = apply_settlement(enriched, settlement)
-    deduped = apply_settlement(with_costs(dedup_sales(union)), settlement, allocate)
+    deduped = last_lines(union, inputs.catalog, settlement, allocate)
     return RunStages((lo, hi), sources, union, enriched, settled, deduped, fact_table(deduped))
 
 
-def _settlement_or_empty(inputs: RunInputs, like: DataFrame) -> DataFrame:
-    if inputs.settlement is not None:
-        return inputs.settlement
-    spark = like.sparkSession
-    return spark.createDataFrame(
+def with_costs(lines: DataFrame, catalog: DataFrame | None) -> DataFrame:
+    return join_catalog(lines, catalog) if catalog is not None else lines
+
+
+def last_lines(lines: DataFrame, catalog: DataFrame | None, settlement: DataFrame | None, allocate: bool = False) -> DataFrame:
+    """The last line of each (order, sku) with its costs and settled price.
+
+    Both joins have one row per key on their build side, so they commute with
+    keep-last; it runs first, on rows without the catalogue's columns.
+    """
+    paid = settlement if settlement is not None else _no_settlement(lines)
+    return apply_settlement(with_costs(dedup_sales(lines), catalog), paid, allocate)
+
+
+def _no_settlement(like: DataFrame) -> DataFrame:
+    return like.sparkSession.createDataFrame(
         [], "id_pedido string, preco_acordado decimal(18,3), cashback_cupom decimal(18,3), "
             "`Comissão` decimal(18,3)")

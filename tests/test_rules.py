@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from salesabc import config, session
 from salesabc.functions import business
-from salesabc.operators import catalog, consolidate, cumulative, pareto, settlement
+from salesabc.operators import catalog, consolidate, pareto, settlement
 from salesabc.operators.cumulative import running_sum
 from salesabc.sources import files, order_feed
 
@@ -138,28 +138,13 @@ def test_range_running_sum_equals_window(spark):
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
 
 
-def test_sliced_running_sum_equals_window(spark):
-    """Ties, zero and negative values, null keys; and no slice of the hot group holds most of it."""
-    import random
-    r = random.Random(2)
-    rows = [("hot" if i % 5 else "cold", r.choice([0, 1000, 2000, 2500, 63_000, 64_000, 64_001, 10**6 + i, -5000, -7, 1]), None if i == 7 else f"{r.randint(0, 9999):04d}", i) for i in range(3000)]
-    df = spark.createDataFrame(rows, "g string, v long, sku string, k long").dropDuplicates(["g", "v", "sku"])
-    order = [F.col("v").desc(), F.col("sku")]
-    want = running_sum(df, ["g"], order, "v", "r", strategy="window").collect()
-    sliced = df.withColumns(cumulative.slice_columns("v", "sku"))
-    got = cumulative.sliced_running_sum(df, df, ["g"], order, "v", "sku", "v", "r").select("g", "v", "sku", "k", "r")
-    assert sorted(map(str, (tuple(x) for x in got.collect()))) == sorted(map(str, (tuple(x) for x in want)))
-    most = sliced.where("g = 'hot'").groupBy("_s1", "_s2").count().agg(F.max("count")).first()[0]
-    assert most < 0.2 * df.where("g = 'hot'").count()
-
-
 def test_curves_never_gather_a_group(spark):
-    """Row-wise windows of the default curves run inside slices; only slice sums see a whole group."""
+    """Windows of the default curves hold rows with a share only, at most 200,000 a group; nothing runs while they are built."""
     from salesabc.plans import registry
     plan = registry.QUERIES["pareto_abc"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
     over = [line for line in plan.splitlines() if "Window [" in line]
-    assert len(over) >= 2  # a running sum within slices, a sum of slices
-    assert all("_slice" in line for line in over)
+    assert len(over) == 2  # one for each measure
+    assert all("_spread" in line for line in over)
 
 
 def test_sheets_read_chosen_months_only(spark):
@@ -220,3 +205,87 @@ def test_b2_store_names_of_the_business(spark):
     names = [*config.STORE_NAMES, "Loja nova"]
     df = spark.createDataFrame([(f" {n} ",) for n in names], "l string")
     assert [r[0] for r in df.select(business.standard_store(F.col("l"))).collect()] == [*config.STORE_NAMES.values(), "Loja nova"]
+
+
+def test_bounded_running_share_equals_window(spark):
+    """Any values: ties, zero, negative, zero totals, shares too small to show."""
+    import random
+    r = random.Random(3)
+    rows = []
+    for g, pick in (("tail", lambda i: 10**9 if i < 5 else r.randint(0, 30)), ("mixed", lambda i: r.randint(-4000, 9000)), ("none", lambda i: 0),
+                    ("cancelled", lambda i: 5000 if i % 2 else -5000), ("below", lambda i: -r.randint(0, 10**6))):
+        rows += [(g, dt.date(2025, 1, 1), f"{i:04d}", "t", pick(i) * 1000, pick(i)) for i in range(400)]
+    totals = spark.createDataFrame(rows, "grupo string, mes_data date, sku string, titulo string, quantidade_total_vendida long, valor_total_gmv long")
+    a, b = (sorted(map(str, pareto.pareto_curves(totals, s).collect())) for s in ("bounded", "window"))
+    assert a == b and len(a) == 2000
+
+
+def test_rows_without_a_share_are_dealt(spark):
+    """Of a group with a long tail, a window partition holds the rows with a share only."""
+    rows = [("g", dt.date(2025, 1, 1), f"{i:05d}", "t", 10**9 if i < 3 else 1, 1) for i in range(5000)]
+    df = spark.createDataFrame(rows, "grupo string, mes_data date, sku string, titulo string, v long, w long").withColumn("s", F.when(F.col("v") > 1, 33_333).otherwise(0))
+    out = pareto.running_share(df.withColumn("b", F.lit(99_999)), ["grupo"], [F.col("v").desc(), F.col("sku")], "v", "s", "b", "r")
+    assert [r.r for r in out.orderBy("sku").limit(4).collect()] == [33_333, 66_666, 99_999, 99_999]
+    assert "_spread" in out._jdf.queryExecution().sparkPlan().toString().split("Window [")[1]
+
+
+def _pages_of(spark, base, days):
+    import json
+    for day, texts in days.items():
+        spark.createDataFrame([(t if isinstance(t, str) else json.dumps(t),) for t in texts], "value string").coalesce(1).write.mode("overwrite").text(f"{base}/dia={day}")
+
+
+def test_window_lists_its_own_folders(spark):
+    """Other days are not listed, a missing day has no pages."""
+    import time
+    base = session.scratch_path(spark, "days")
+    page = {"total": 1, "orders": [{"id": "1", "dateCreated": "2025-01-03T10:00:00", "order_items": []}]}
+    _pages_of(spark, base, {f"2025-01-{d:02d}": [page] for d in (1, 2, 3, 5)})
+    start = time.time()
+    pages = order_feed.read_pages(spark, base, dt.date(2025, 1, 3), dt.date(2025, 1, 5))
+    assert time.time() - start < 1
+    assert sorted(f.split("dia=")[1][:10] for f in pages.inputFiles()) == ["2025-01-03", "2025-01-05"]
+    assert sorted(r.dia for r in pages.collect()) == ["2025-01-03", "2025-01-05"]
+    assert order_feed.read_pages(spark, base, dt.date(2024, 1, 1), dt.date(2024, 1, 2)).count() == 0
+    assert order_feed.feed_rows(order_feed.read_pages(spark, base, dt.date(2024, 1, 1), dt.date(2024, 1, 2))).count() == 0
+
+
+def test_cut_pages_are_refused_and_not_received(spark):
+    import json
+    base = session.scratch_path(spark, "cut")
+    item = {"unit_price": "1", "quantity": 2, "item": {"seller_custom_field": "s", "title": "t"}}
+    order = lambda i, *items: {"id": str(i), "dateCreated": "2025-01-01T10:00:00", "order_items": list(items)}
+    whole = {"total": 3, "orders": [order(1, item), order(2, {**item, "quantity": None}, item)]}
+    odd = {"total": 3, "orders": [order(3, {**item, "quantity": "many"})]}
+    _pages_of(spark, base, {"2025-01-01": [whole, json.dumps(whole)[:40], odd]})
+    pages = order_feed.read_pages(spark, base)
+    got = sorted((r.motivo, r.linha % 2**33, r.numero_pedido) for r in order_feed.feed_rejects(pages).collect())
+    assert [g[0] for g in got] == ["campo_ilegivel", "pagina_ilegivel", "quantidade_nula", "quantidade_nula"][:len(got)]
+    day = order_feed.page_completeness(pages, 1).first()
+    assert (day.paginas_recebidas, day.paginas_faltantes, day.completo) == (2, 1, False)
+    assert {r.quantidade for r in order_feed.feed_rows(pages).where("numero_pedido = '2'").collect()} == {0, 2}
+
+
+def test_sheet_records_of_another_width(spark):
+    base = session.scratch_path(spark, "width")
+    head = [k for k, v in config.SHEET_HEADERS.items() if v in ("numero_pedido", "sku")]
+    spark.createDataFrame([(",".join(head),), ("a,b",), ("c",), ("d,e,f",)], "value string").coalesce(1).write.text(f"{base}/mes=2025-01")
+    import glob
+    import os
+    for f in glob.glob(f"{base}/mes=2025-01/*.txt"):
+        os.link(f, f.replace(".txt", ".csv"))
+    bad = {r.texto for r in files.sheet_rejects(spark, base).collect()}
+    assert bad == {"c", "d,e,f"}
+    assert files.read_sheets(spark, base).count() == 3
+
+
+def test_markdown_reader_takes_odd_lines(spark):
+    base = session.scratch_path(spark, "md")
+    text = ["title", "", "| a | b | c | d |", "|:---|---|---|---|", "| 1 | x | | 4 |", "", "| 2 |", "| a | b | c | d |", "| 3 | y | | 5 | 6 |", "no table"]
+    spark.createDataFrame([(t,) for t in text], "value string").coalesce(1).write.text(base)
+    got = sorted(map(tuple, files.read_markdown_table(spark, base).collect()), key=str)
+    # the line that equals the header is a record here, so c isn't empty everywhere
+    assert got == sorted([("1", "x", "", "4"), ("2", None, None, None), ("a", "b", "c", "d"), ("3", "y", "", "5")], key=str)
+    base = session.scratch_path(spark, "md")
+    spark.createDataFrame([(t,) for t in text if t != "| a | b | c | d |" or text.index(t) == 2][:7], "value string").coalesce(1).write.text(base)
+    assert files.read_markdown_table(spark, base).columns == ["a", "b", "d"]  # P7
