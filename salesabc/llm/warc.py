@@ -15,8 +15,13 @@ last one.  Memory holds one record and one read buffer.
 Defined cases: a null payload is empty; a null id or address writes no such
 value and reads back as null; equal rows are separate records; rows with the
 greatest id among equal payloads are all responses if that id repeats; an
-empty table gives an archive without records; extra columns are ignored.  An
-archive that is cut off or damaged raises an error.
+empty table gives an archive without records; extra columns are ignored.
+
+Damage is an error, never a lost record.  Inside a range, a member that doesn't
+decode raises at once.  The first member of a range can't be told from chance
+bytes if it is damaged, so it may be passed over; ``require_whole`` therefore
+checks that the records that were read tile each file from its first byte to its
+last, without gap or overlap, and are as many as its manifest says.
 """
 
 from __future__ import annotations
@@ -29,7 +34,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import scratch, text_array, written
@@ -39,6 +44,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 #: Payloads from this size on may be replaced by revisits.
 REVISIT_BYTES = 1000
 SPLIT_BYTES = 8 << 20
+#: Most tasks of a read; beyond it, a task gets several ranges that follow each other.
+TASKS = 20_000
 #: A writer starts another file beyond this size.
 FILE_BYTES = 1 << 30
 CHUNK = 1 << 14
@@ -197,29 +204,29 @@ def first_record(reader: _Reader, start: int, end: int) -> int:
     return end
 
 
-def records_in(source, size: int, start: int, end: int) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """(offset, headers, block) of the records that start in [start, end)."""
+def records_in(source, size: int, start: int, end: int) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
+    """(offset, where the record ends, headers, block) of the records that start in [start, end)."""
     reader = _Reader(source, size)
     pos = first_record(reader, start, end)
     while pos < end:
         data, after = reader.member(pos)
-        yield (pos, *parse(data))
+        yield (pos, after, *parse(data))
         pos = after
 
 
 def read_warc(files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """Records of the files (path, bytes): path, offset, page_id, record_type, uri, refers_to, header_digest
+    """Records of the files (path, bytes): path, offset, stop (where the record ends), page_id, record_type, uri, refers_to, header_digest
     (hex SHA-1), payload (binary; null for revisits)."""
     ranges = written(files.where("bytes > 0").select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split_bytes).cast("long"))).alias("start")), "warc-ranges")
-    n = max(1, ranges.count())
+    n = max(1, min(ranges.count(), TASKS))
 
     def key_of(value: str | None) -> int | None:
         own = (value or "").removeprefix("<urn:x-page:").removesuffix(">")
         return int(own) if own else None
 
     def read(batches):
-        names = ["path", "offset", "page_id", "record_type", "uri", "refers_to", "header_digest", "payload"]
-        kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary()]
+        names = ["path", "offset", "stop", "page_id", "record_type", "uri", "refers_to", "header_digest", "payload"]
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary()]
 
         def flush(rows):
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
@@ -229,11 +236,11 @@ def read_warc(files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
                 fs, name = pafs.FileSystem.from_uri(path)
                 rows, held = [], 0
                 with fs.open_input_file(name) as source:
-                    for offset, head, block in records_in(source, size, start, min(size, start + split_bytes)):
+                    for offset, stop, head, block in records_in(source, size, start, min(size, start + split_bytes)):
                         digest = base64.b32decode(head["warc-payload-digest"].removeprefix("sha1:")).hex() if "warc-payload-digest" in head else None
                         kind = head.get("warc-type")
                         payload = block.partition(b"\r\n\r\n")[2] if kind == "response" else None
-                        rows.append((path, offset, key_of(head.get("warc-record-id")), kind, head.get("warc-target-uri"), key_of(head.get("warc-refers-to")), digest, payload))
+                        rows.append((path, offset, stop, key_of(head.get("warc-record-id")), kind, head.get("warc-target-uri"), key_of(head.get("warc-refers-to")), digest, payload))
                         held += len(block)
                         if held > 8 << 20:
                             yield flush(rows)
@@ -241,20 +248,47 @@ def read_warc(files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
                 if rows:
                     yield flush(rows)
 
-    return ranges.repartition(n, "path", "start").select("path", "bytes", "start").mapInArrow(
-        read, "path string, offset long, page_id long, record_type string, uri string, refers_to long, header_digest string, payload binary")
+    return ranges.repartitionByRange(n, "path", "start").select("path", "bytes", "start").mapInArrow(
+        read, "path string, offset long, stop long, page_id long, record_type string, uri string, refers_to long, header_digest string, payload binary")
+
+
+def damaged_files(index: DataFrame, files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """(path, found) of the files that the records read (path, offset, stop) don't tile, or that hold another number of
+    them than ``files`` (path, bytes, and if known records) says.
+
+    Within a range, a reader goes from each record's end to the next record,
+    so ranges are compared, not records: a row per range of a file.
+    """
+    part = index.groupBy("path", F.floor(F.col("offset") / F.lit(split_bytes)).alias("part")).agg(
+        F.min("offset").alias("first"), F.max("stop").alias("last"), F.count("*").alias("n"), F.sum(F.col("stop") - F.col("offset")).alias("covered"))
+    before = F.lag("last", 1, 0).over(Window.partitionBy("path").orderBy("part"))
+    tiles = (part.withColumn("whole", (F.col("first") == before) & (F.col("covered") == F.col("last") - F.col("first")))
+             .groupBy("path").agg(F.min("whole").alias("whole"), F.max("last").alias("last"), F.sum("n").alias("found")))
+    known = F.col("records") if "records" in files.columns else F.lit(None).cast("long")
+    both = files.where("bytes > 0").select("path", "bytes", known.alias("records")).join(tiles, "path", "left")
+    good = F.col("whole") & (F.col("last") == F.col("bytes")) & (F.col("records").isNull() | (F.col("records") == F.col("found")))
+    return both.where(~F.coalesce(good, F.lit(False))).select("path", F.coalesce("found", F.lit(0)).cast("long").alias("found"))
+
+
+def require_whole(index: DataFrame, files: DataFrame, split_bytes: int = SPLIT_BYTES) -> None:
+    """Raise if any file was not read from its first byte to its last."""
+    bad = damaged_files(index, files, split_bytes).orderBy("path").limit(5).collect()
+    if bad:
+        raise ValueError("damaged archives: " + ", ".join(f"{r['path']} ({r['found']} records read)" for r in bad))
 
 
-def payload_index(records: DataFrame) -> DataFrame:
+def payload_index(records: DataFrame, files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to; revisits take the size from the record they refer to.
 
     Digests are computed from the payloads that were read and must agree with
-    the headers; a revisit must agree with its response.
+    the headers; a revisit must agree with its response; the records must tile
+    the ``files`` that they were read from.
     """
     digest = F.sha1("payload")
-    own = written(records.select("page_id", "record_type", "refers_to", F.octet_length("payload").cast("long").alias("payload_bytes"),
+    own = written(records.select("path", "offset", "stop", "page_id", "record_type", "refers_to", F.octet_length("payload").cast("long").alias("payload_bytes"),
                                  F.when(F.col("record_type") == "revisit", F.col("header_digest")).when(digest == F.col("header_digest"), digest)
                                  .otherwise(F.raise_error(F.lit("a payload differs from its digest"))).alias("payload_digest")), "warc-index")
+    require_whole(own, files, split_bytes)
     response = own.where("record_type = 'response'").select(F.col("page_id").alias("_to"), F.col("payload_digest").alias("_digest"), F.col("payload_bytes").alias("_bytes")).distinct()
     revisit = own.where("record_type = 'revisit'").drop("payload_bytes").join(response, (F.col("refers_to") == F.col("_to")) & (F.col("payload_digest") == F.col("_digest")), "left")
     size = F.when(F.col("_bytes").isNull(), F.raise_error(F.lit("a revisit refers to no response")).cast("long")).otherwise(F.col("_bytes"))
@@ -266,4 +300,4 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", uri_col: str = "url",
     """Write the pages as archives in the shared scratch folder and index what is read back."""
     folder = scratch(pages.sparkSession, "warc")
     manifest = write_warc(pages, folder, id_col, uri_col, payload_col)
-    return payload_index(read_warc(manifest.select("path", "bytes"), split_bytes))
+    return payload_index(read_warc(manifest, split_bytes), manifest, split_bytes)

@@ -76,7 +76,7 @@ def test_every_split_owns_each_record_once():
         starts.append(at)
         at += len(m)
     for step in (37, 100, 999, len(data)):
-        got = [p for lo in range(0, len(data), step) for p, _, _ in warc.records_in(io.BytesIO(data), len(data), lo, min(len(data), lo + step))]
+        got = [p for lo in range(0, len(data), step) for p, *_ in warc.records_in(io.BytesIO(data), len(data), lo, min(len(data), lo + step))]
         assert got == starts
 
 
@@ -86,6 +86,48 @@ def test_damage_is_an_error():
         list(warc.records_in(io.BytesIO(data[:-5]), len(data) - 5, 0, len(data) - 5))
 
 
+def test_no_damaged_record_is_lost_silently(spark):
+    """Two bytes changed in each record in turn, at its start, inside and at its end, read in ranges of several sizes."""
+    r = random.Random(8)
+    members = [warc.record(i, f"http://h/{i}", "".join(r.choices("abcdef <>", k=r.choice([5, 400, 3000, 9000]))).encode()) for i in range(40)]
+    whole = b"".join(members)
+    index, files, raised = [], [], 0
+    starts = [sum(map(len, members[:i])) for i in range(40)]
+    for split in (600, 5000, 1 << 20):
+        cases = [("whole", whole)]
+        for i, m in enumerate(members):
+            for place in (0, 3, len(m) // 2, len(m) - 6):
+                data = bytearray(whole)
+                data[starts[i] + place] ^= 0xFF
+                data[starts[i] + place + 1] ^= 0xFF
+                cases.append((f"{i}-{place}", bytes(data)))
+        for name, data in cases:
+            path = f"{split}-{name}"
+            try:
+                found = [(path, p, q) for lo in range(0, len(data), split) for p, q, *_ in warc.records_in(io.BytesIO(data), len(data), lo, min(len(data), lo + split))]
+            except (zlib.error, ValueError, KeyError):
+                raised += 1
+                continue
+            index += [(*x, split) for x in found]
+            files.append((path, len(data), 40, split))
+    bad = set()
+    for split in (600, 5000, 1 << 20):
+        rows = spark.createDataFrame([x[:3] for x in index if x[3] == split], "path string, offset long, stop long")
+        given = spark.createDataFrame([x[:3] for x in files if x[3] == split], "path string, bytes long, records long")
+        bad |= {x["path"] for x in warc.damaged_files(rows, given, split).collect()}
+        assert {x["path"] for x in warc.damaged_files(rows, given.drop("records"), split).collect()} <= bad
+    assert bad == {f[0] for f in files} - {f"{s}-whole" for s in (600, 5000, 1 << 20)}
+    assert raised > 0 and len(bad) > 0
+
+
+def test_a_file_without_records_is_damaged(spark):
+    index = spark.createDataFrame([("a", 0, 10), ("a", 10, 20), ("b", 0, 10), ("c", 0, 10), ("c", 12, 20)], "path string, offset long, stop long")
+    files = spark.createDataFrame([("a", 20, 2), ("b", 10, 2), ("c", 20, 2), ("d", 5, 0), ("e", 0, 0)], "path string, bytes long, records long")
+    assert {r["path"] for r in warc.damaged_files(index, files, 8).collect()} == {"b", "c", "d"}
+    with pytest.raises(ValueError, match="damaged"):
+        warc.require_whole(index, files, 8)
+
+
 def test_query_over_pages(spark):
     from salesabc.llm.queries import QUERIES
 
