@@ -8,13 +8,21 @@ not yet marked in either is marked, again and again, until no match of
 coverage, whatever the order of the tiles in the document, so reordered
 passages count.
 
+The longest match is found by bisection on its length: running hashes of one
+length over the unmarked words of both sides tell whether a match that long is
+left.  Nothing is listed by pairs of places, so memory is a few numbers per word
+of the document and of the item, and the time of a round is proportional to
+their words, however repetitive they are; an item takes at most its words
+divided by ``min_match`` rounds.
+
 The benchmark is a stated query set against all documents.  It is read in
 blocks of at most ``block_words`` words, and only one block's seeds are held
 by a task; documents are never shuffled.
 
 Defined cases: a null or wordless text matches nothing; an item with fewer
 words than ``min_match`` has to occur whole; a null id is kept; repeated rows
-are judged alike; empty tables give an empty result; extra columns are ignored.
+are judged alike; empty tables give an empty result; extra columns are ignored;
+very long and repetitive texts are tiled whole.
 """
 
 from __future__ import annotations
@@ -56,36 +64,80 @@ def running_hashes(words: np.ndarray, k: int) -> np.ndarray:
     return mix64(h)
 
 
-def tile(doc: np.ndarray, item: np.ndarray, hits: list[tuple[int, int]], k: int) -> list[tuple[int, int, int]]:
-    """Greedy tiles (place in the document, place in the item, words) from seed hits of k words.
+class _Runs:
+    """Running hashes of any length over some words, each word usable until it is marked."""
+
+    def __init__(self, words: np.ndarray):
+        self.words, self.free = words, np.ones(len(words), bool)
+        with np.errstate(over="ignore"):
+            self.power = np.concatenate(([np.uint64(1)], np.cumprod(np.full(len(words), _BASE, np.uint64))))
+            back = np.concatenate(([np.uint64(1)], np.cumprod(np.full(max(len(words) - 1, 0), pow(_BASE, -1, 1 << 64), np.uint64))))[: len(words)]
+            self.sums = np.concatenate(([np.uint64(0)], np.cumsum(words * back, dtype=np.uint64)))
+        self.used = np.zeros(len(words) + 1, np.int64)
+
+    def mark(self, at: int, n: int) -> None:
+        self.free[at:at + n] = False
+        self.used = np.concatenate(([0], np.cumsum(~self.free)))
+
+    def longest(self) -> int:
+        edge = np.flatnonzero(np.concatenate(([True], ~self.free, [True])))
+        return int(np.diff(edge).max()) - 1 if len(edge) > 1 else 0
+
+    def hashes(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(places, hashes) of the runs of n unmarked words."""
+        at = np.flatnonzero(self.used[n:] == self.used[: len(self.used) - n]) if n < len(self.used) else np.zeros(0, np.int64)
+        return at, mix64((self.sums[at + n] - self.sums[at]) * self.power[at])
+
+
+def tile(doc: np.ndarray, item: np.ndarray, seeds: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+    """Greedy tiles (place in the document, place in the item, words), given the places of seeds of k words.
 
-    Every round extends all seeds over unmarked words, takes the longest match
-    (the first of equally long ones) and marks it; seeds that touch a mark are
-    gone, so the rounds are at most the item's words divided by k.
+    Every round takes the longest match of unmarked words (of equally long
+    ones the first in the document, then in the item) and marks it.
     """
-    free_doc, free_item = np.ones(len(doc), bool), np.ones(len(item), bool)
-    tiles = []
-    left = [(a, b) for a, b in sorted(hits) if (doc[a:a + k] == item[b:b + k]).all()]
-    while left:
-        best, seen, still = (0, 0, 0), {}, []
-        for a, b in left:
-            if not (free_doc[a:a + k].all() and free_item[b:b + k].all()):
-                continue
-            still.append((a, b))
-            if seen.get(a - b, -1) >= a:  # inside a match that was extended already
-                continue
-            n = min(len(doc) - a, len(item) - b)
-            same = (doc[a:a + n] == item[b:b + n]) & free_doc[a:a + n] & free_item[b:b + n]
-            stop = int(np.argmin(same)) if not same.all() else n
-            seen[a - b] = a + stop - k
-            if stop > best[2]:
-                best = a, b, stop
-        if best[2] < k:
+    inside = np.zeros(len(doc) + 1, np.int64)
+    np.add.at(inside, seeds, 1)
+    np.add.at(inside, seeds + k, -1)
+    at = np.flatnonzero(np.cumsum(inside)[:-1] > 0)  # a match is made of seeds: other words of the document don't count
+    gap = np.flatnonzero(np.diff(at) > 1) + 1
+    at = np.insert(at, gap, -1)
+    left, right = _Runs(np.where(at >= 0, doc[at], np.uint64(0))), _Runs(item)
+    left.free[at < 0] = False
+    left.mark(0, 0)
+
+    def first(n: int) -> tuple[int, int] | None:
+        a, ha = left.hashes(n)
+        b, hb = right.hashes(n)
+        order = np.argsort(hb, kind="stable")
+        hb = hb[order]
+        if not len(hb):
+            return None
+        low = np.minimum(np.searchsorted(hb, ha), len(hb) - 1)
+        for j in np.flatnonzero(hb[low] == ha):
+            x, y = int(a[j]), int(b[order[low[j]]])
+            if (left.words[x:x + n] == right.words[y:y + n]).all():
+                return x, y
+        return None
+
+    tiles, most = [], min(left.longest(), right.longest())
+    while most >= k:
+        good, best, bad = None, 0, most + 1
+        n = most  # the last length first: equally long matches follow each other
+        while best + 1 < bad or good is None and n >= k:
+            found = first(n)
+            if found:
+                good, best = found, n
+            else:
+                bad = n
+            if best + 1 >= bad or bad <= k:
+                break
+            n = max(k, (max(best, k - 1) + bad) // 2)
+        if good is None:
             break
-        a, b, n = best
-        free_doc[a:a + n] = free_item[b:b + n] = False
-        tiles.append(best)
-        left = still
+        tiles.append((int(at[good[0]]), good[1], best))
+        left.mark(good[0], best)
+        right.mark(good[1], best)
+        most = min(best, left.longest(), right.longest())
     return tiles
 
 
@@ -101,16 +153,18 @@ class _Block:
             hashes = [running_hashes(own[i], k) for i in which]
             h = np.concatenate(hashes)
             who = np.repeat(which, [len(x) for x in hashes])
-            at = np.concatenate([np.arange(len(x)) for x in hashes])
-            order = np.argsort(h, kind="stable")
+            order = np.lexsort((who, h))
+            once = np.ones(len(order), bool)  # a seed that an item repeats counts once
+            once[1:] = (h[order][1:] != h[order][:-1]) | (who[order][1:] != who[order][:-1])
+            order = order[once]
             sieve = np.zeros(1 << _SIEVE_BITS, bool)
             sieve[(h >> np.uint64(64 - _SIEVE_BITS)).astype(np.int64)] = True
-            self.seeds[k] = h[order], who[order], at[order], sieve
+            self.seeds[k] = h[order], who[order], sieve
 
     def matches(self, words: np.ndarray, offsets: np.ndarray):
         """(text, item, tiles) of the texts that share a seed with an item."""
         ends = offsets[1:]
-        for k, (h, who, at, sieve) in self.seeds.items():
+        for k, (h, who, sieve) in self.seeds.items():
             own = running_hashes(words, k)
             place = np.flatnonzero(sieve[(own >> np.uint64(64 - _SIEVE_BITS)).astype(np.int64)])
             text = np.searchsorted(ends, place, side="right")
@@ -118,13 +172,14 @@ class _Block:
             place, text = place[inside], text[inside]
             lo, hi = np.searchsorted(h, own[place], side="left"), np.searchsorted(h, own[place], side="right")
             found = np.flatnonzero(hi > lo)
-            hits: dict[tuple[int, int], list] = {}
-            for j in found:
-                t, p = int(text[j]), int(place[j])
-                for s in range(lo[j], hi[j]):
-                    hits.setdefault((t, int(who[s])), []).append((p - int(offsets[t]), int(at[s])))
-            for (t, i), pairs in sorted(hits.items()):
-                yield t, i, tile(words[offsets[t]:offsets[t + 1]], self.words[i], pairs, k)
+            for part in np.split(found, np.flatnonzero(np.diff(text[found])) + 1) if len(found) else ():
+                t = int(text[part[0]])
+                seeds: dict[int, list] = {}  # of one text: places by item
+                for j in part:
+                    for i in who[lo[j]:hi[j]].tolist():
+                        seeds.setdefault(i, []).append(int(place[j]) - int(offsets[t]))
+                for i, at in sorted(seeds.items()):
+                    yield t, i, tile(words[offsets[t]:offsets[t + 1]], self.words[i], np.array(at), k)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
