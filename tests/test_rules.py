@@ -289,3 +289,26 @@ def test_markdown_reader_takes_odd_lines(spark):
     base = session.scratch_path(spark, "md")
     spark.createDataFrame([(t,) for t in text if t != "| a | b | c | d |" or text.index(t) == 2][:7], "value string").coalesce(1).write.text(base)
     assert files.read_markdown_table(spark, base).columns == ["a", "b", "d"]  # P7
+
+
+def test_hot_order_is_split_over_tasks(spark):
+    """An order with a third of all lines; slices add up to its price and none holds most of it."""
+    import random
+    r = random.Random(6)
+    rows = [("hot" if i % 3 == 0 else f"o{i % 500}", f"{r.randint(0, 10**7):07d}", f"r{i}", Decimal(r.randint(0, 9000)) / 1000, r.randint(0, 4)) for i in range(6000)]
+    sales = spark.createDataFrame(rows, "numero_pedido string, sku string, rastreio string, valor_unitario_venda decimal(18,3), quantidade long")
+    settled = spark.createDataFrame([("hot", Decimal("12345.678"), Decimal(0), Decimal(0)), ("o1", Decimal("0.005"), Decimal(0), Decimal(0))],
+                                    "id_pedido string, preco_acordado decimal(18,3), cashback_cupom decimal(18,3), `Comissão` decimal(18,3)")
+    got = settlement.apply_settlement(sales, settled, allocate=True)
+    assert got.where("numero_pedido = 'hot'").agg(F.sum("valor_total_produto")).first()[0] == Decimal("12345.678")
+    assert got.where("numero_pedido = 'o1'").agg(F.sum("valor_total_produto")).first()[0] == Decimal("0.005")
+    value = lambda x: int(x[3] * 1000) * x[4]
+    hot = sorted((x for x in rows if x[0] == "hot"), key=lambda x: (x[1], x[2]))
+    total, run, want = sum(map(value, hot)), 0, {}
+    up = lambda v: (12345678 * v * 2 + total) // (2 * total)
+    for x in hot:
+        want[x[2]] = Decimal(up(run + value(x)) - up(run)) / 1000
+        run += value(x)
+    assert {x.rastreio: x.valor_total_produto for x in got.where("numero_pedido = 'hot'").collect()} == want
+    over = [line for line in got._jdf.queryExecution().sparkPlan().toString().splitlines() if "Window [" in line]
+    assert sum("_slice" in line.split("windowspecdefinition")[1].split("ASC")[0] for line in over) >= 1
