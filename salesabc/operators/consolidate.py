@@ -20,7 +20,7 @@ from salesabc.functions.dates import parse_sheet_date
 from salesabc.functions.numeric import parse_decimal, parse_long
 from salesabc.functions.text import clean_text, strip
 from salesabc.operators.clean import conform
-from salesabc.operators.dedup import keep_last
+from salesabc.operators.dedup import keep_last, keep_last_of_stored
 
 # Order columns a source may carry; "last" compares source rank first,
 # then the source's own ingest position.
@@ -66,15 +66,15 @@ def month_filter(df: DataFrame, year: int, month: int, date_col: str = "data_do_
     return df.filter((d >= F.lit(start)) & (d < F.lit(end)))
 
 
-def dedup_sales(df: DataFrame) -> DataFrame:
-    """Last line per (numero_pedido, sku) after trimming both keys."""
+def dedup_sales(df: DataFrame, stored: bool = False) -> DataFrame:
+    """Last line per (numero_pedido, sku) after trimming both keys (W4); ``stored`` if ``df`` reads a table."""
     keyed = df.withColumns({"numero_pedido": clean_text(F.col("numero_pedido")),
                             "sku": clean_text(F.col("sku"))})
     for c in ORDER_COLUMNS:
         if c not in keyed.columns:
             keyed = keyed.withColumn(c, F.lit(None))
     order = F.struct(*[F.col(c) for c in ORDER_COLUMNS])
-    return keep_last(keyed, ["numero_pedido", "sku"], order)
+    return (keep_last_of_stored if stored else keep_last)(keyed, ["numero_pedido", "sku"], order)
 
 
 MONEY_FINAL = ["valor_total_produto", "custo_total_produto", "Comissão", "custo_unitario"]

@@ -25,3 +25,16 @@ def keep_last(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
     best = (df.groupBy(*keys)
               .agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in others]), order).alias("_last")))
     return best.select(*keys, *[F.col("_last")[c].alias(c) for c in others])
+
+
+def keep_last_of_stored(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
+    """The same rows for a stored table, whose columns can be read one by one; keys without nulls.
+
+    Keys that repeat are found first, by a hash aggregate over the key columns
+    alone.  Rows of all other keys pass as they are, neither sorted nor
+    shuffled while the repeated keys are few enough to be broadcast (measured,
+    see ``session``); only rows of repeated keys are aggregated.
+    """
+    repeated = df.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").select(*[F.col(k).alias(f"_{k}") for k in keys])
+    same = [F.col(k) == F.col(f"_{k}") for k in keys]
+    return df.join(repeated, same, "left_anti").unionByName(keep_last(df.join(repeated, same, "left_semi"), keys, order))

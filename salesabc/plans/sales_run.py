@@ -83,14 +83,14 @@ def with_costs(lines: DataFrame, catalog: DataFrame | None) -> DataFrame:
     return join_catalog(lines, catalog) if catalog is not None else lines
 
 
-def last_lines(lines: DataFrame, catalog: DataFrame | None, settlement: DataFrame | None, allocate: bool = False) -> DataFrame:
+def last_lines(lines: DataFrame, catalog: DataFrame | None, settlement: DataFrame | None, allocate: bool = False, stored: bool = False) -> DataFrame:
     """The last line of each (order, sku) with its costs and settled price.
 
     Both joins have one row per key on their build side, so they commute with
     keep-last; it runs first, on rows without the catalogue's columns.
     """
     paid = settlement if settlement is not None else _no_settlement(lines)
-    return apply_settlement(with_costs(dedup_sales(lines), catalog), paid, allocate)
+    return apply_settlement(with_costs(dedup_sales(lines, stored), catalog), paid, allocate)
 
 
 def _no_settlement(like: DataFrame) -> DataFrame:

@@ -312,3 +312,19 @@ def test_hot_order_is_split_over_tasks(spark):
     assert {x.rastreio: x.valor_total_produto for x in got.where("numero_pedido = 'hot'").collect()} == want
     over = [line for line in got._jdf.queryExecution().sparkPlan().toString().splitlines() if "Window [" in line]
     assert sum("_slice" in line.split("windowspecdefinition")[1].split("ASC")[0] for line in over) >= 1
+
+
+def test_keep_last_of_stored_rows(spark):
+    """Same rows as the plain form; keys that occur once are neither sorted nor aggregated."""
+    import random
+    from salesabc.operators.dedup import keep_last, keep_last_of_stored
+    r = random.Random(1)
+    path = session.scratch_path(spark, "stored")
+    rows = [(f"o{i}" if r.random() < 0.7 else "hot", f"s{r.randint(0, 300)}", i, f"text {i}") for i in range(3000)]
+    spark.createDataFrame(rows, "numero_pedido string, sku string, n long, t string").write.parquet(path)
+    df = spark.read.parquet(path)
+    keys, order = ["numero_pedido", "sku"], F.struct("n")
+    a, b = keep_last_of_stored(df, keys, order), keep_last(df, keys, order)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    plan = a._jdf.queryExecution().sparkPlan().toString()
+    assert "LeftAnti" in plan and plan.count("SortAggregate(") == 2  # both halves of the aggregate over repeated keys
