@@ -14,10 +14,11 @@ counted by 64 ranges of their hashes; the differences add up to at most the
 difference of the sets) and are verified by their whole sets, once per pair.
 
 Links matter here for what they connect.  Groups of near copies would give all
-their pairs, so in the first rounds each class is compared with one class
-that it shares most n-grams with and that comes early in its lists; pairs that
-are connected then need no check, and all others that meet are verified.
-Lists of frequent n-grams are dealt over slices, then over a grid of slices.
+their pairs, so in the first rounds each class is compared with a few others
+only that pass the filters in its lists (in each round with more, as fewer
+classes are left outside of the large components); pairs that are connected
+then need no check, and all others that meet are verified.  Lists of frequent n-grams are
+dealt over slices, then over a grid of slices.
 
 Defined cases: null or wordless text has no n-grams and links with nothing (its
 component is its own id); fewer words than ``n`` are one n-gram, the whole
@@ -44,9 +45,13 @@ _CHUNK = 1 << 16
 CELL = 4096
 #: One class in so many is looked at to find lists that are longer.
 LOOK = 32
-ROUNDS = 3
+#: Classes that a class is compared with in each of the first rounds.
+PARTNERS = (3, 8, 24, 64)
+#: Lists up to so many classes are searched whole for a partner.
+SHORT = 16
+_MATRIX = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
-_TEXT_BYTES = 4 << 20
+_TEXT_BYTES = 1 << 20
 _BLOOM_BITS = 1 << 26
 
 
@@ -95,16 +100,16 @@ def frequency_bounds(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Counts of all n-grams and words by cell, on a scale of 16 steps a doubling (2 bytes a cell, whatever the input)."""
 
     def count(batches):
-        total, some = np.zeros(CELLS + WORD_CELLS, np.int64), False
+        total, some = np.zeros(CELLS + WORD_CELLS, np.uint32), False
         for batch in batches:
             for _, texts in _slices(batch, 0):
                 words, tokens, _, _ = grams(texts, n)
-                total[:CELLS] += np.bincount((tokens >> np.uint64(20)).astype(np.int64) % CELLS, minlength=CELLS)
-                total[CELLS:] += np.bincount(_word_cell(words), minlength=WORD_CELLS)
+                np.add.at(total, (tokens >> np.uint64(20)).astype(np.int64) % CELLS, np.uint32(1))
+                np.add.at(total, CELLS + _word_cell(words), np.uint32(1))
                 some = True
         if some:
             for k in range(0, len(total), _CHUNK):
-                yield packed(k // _CHUNK, total[k:k + _CHUNK])
+                yield packed(k // _CHUNK, total[k:k + _CHUNK].astype(np.int64))
 
     got = summed(docs.select("text").mapInArrow(count, SCHEMA), "<i8")
     total = np.concatenate([got[k] for k in range((CELLS + WORD_CELLS) // _CHUNK)]) if got else np.zeros(CELLS + WORD_CELLS, np.int64)
@@ -192,40 +197,78 @@ def _edges(a, b):
     return start, np.diff(np.concatenate((start, [len(a)])))
 
 
-def _first_partners(batches):
-    """Rows of lists with several components, each with an early class of another component that it may link with."""
+def _may_link(s1, p1, s2, p2):
+    """Length and positional filters for two classes under a shared n-gram; s1 <= s2."""
+    return (5 * s1 >= 4 * s2) & (9 * np.minimum(s1 - p1, s2 - p2) >= 4 * (s1 + s2))
+
+
+def _first_partners(turn: int):
+    """Rows of lists with several components; of short lists, those that pass the filters with another row.  A row gets
+    some classes of other components that it passes them with, others by turn and by list; in a list, the row of the
+    component with fewer rows asks, so a large component is asked by what is outside of it and doesn't ask itself."""
 
     def solve(cols):
         token, slot, size, key, pos, dealt, comp = cols
         start, length = _edges(token, slot)
-        keep, pivot = np.zeros(len(token), bool), np.zeros(len(token), np.int64)
-        some = np.zeros(len(token), bool)
+        keep = np.zeros(len(token), bool)
+        asking, asked = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        mixed = mix64(token.view(np.uint64) + np.uint64(turn))
         for a, n, d in zip(start.tolist(), length.tolist(), dealt[start].tolist()):
             if n < 2 and not d:
                 continue
-            b = a + n
-            if not d and (comp[a:b] == comp[a]).all():
+            at = np.arange(a, a + n)
+            if n > 2:
+                at = at[np.concatenate(([True], key[at][1:] != key[at][:-1]))]  # copies from several tasks follow each other
+            if not d and (comp[at] == comp[at[0]]).all():
+                continue
+            n, pick = len(at), int(mixed[a] >> np.uint64(1))
+            if n <= SHORT and not d:
+                rows = list(zip(at.tolist(), size[at].tolist(), pos[at].tolist(), comp[at].tolist()))
+                for j, (rj, sj, pj, cj) in enumerate(rows):
+                    for ri, si, pi, ci in rows[:j]:
+                        if 5 * si >= 4 * sj and 9 * min(si - pi, sj - pj) >= 4 * (si + sj):
+                            keep[ri] = keep[rj] = True
+                            if ci != cj:
+                                asking.append([ri]), asked.append([rj])
                 continue
-            early, before = [], None
-            for r, (s, k, p, c) in enumerate(zip(size[a:b].tolist(), key[a:b].tolist(), pos[a:b].tolist(), comp[a:b].tolist()), a):
-                if k == before:
-                    continue
-                before = k
-                keep[r] = True
-                early = [e for e in early if 5 * e[0] >= 4 * s]
-                for es, ek, ep, ec in early:
-                    if ec != c and 1 + min(es - ep - 1, s - p - 1) >= -(-4 * (es + s) // 9):
-                        pivot[r], some[r] = ek, True
-                        break
-                else:
-                    if len(early) < 8 and all(e[3] != c for e in early):
-                        early.append((s, k, p, c))
+            keep[at] = True
+            s, p, c = size[at], pos[at], comp[at]
+            _, of, many = np.unique(c, return_inverse=True, return_counts=True)
+            weight = many[of]
+            # Outside of the largest component, some rows of each component look through the whole list.
+            stir = np.argsort(mix64(key[at].view(np.uint64) + np.uint64(turn)), kind="stable")
+            stir = stir[np.argsort(of[stir], kind="stable")]
+            rank = np.empty(n, np.int64)
+            rank[stir] = np.arange(n) - np.concatenate(([0], np.cumsum(many)[:-1]))[of[stir]]
+            few = np.flatnonzero((of != np.argmax(many)) & (rank < SHORT))
+            if len(few) * n <= _MATRIX and many.max() > 1:
+                first, second = np.minimum(few[:, None], np.arange(n)[None, :]), np.maximum(few[:, None], np.arange(n)[None, :])
+                ok = _may_link(s[first], p[first], s[second], p[second]) & (c[few][:, None] != c[None, :])
+                for r, row in zip(few.tolist(), ok):
+                    others = np.flatnonzero(row)
+                    if len(others):
+                        chosen = others[(pick % len(others) + np.arange(min(8, len(others))) * max(1, len(others) // 8)) % len(others)]
+                        asking.append(np.full(len(chosen), at[r])), asked.append(at[chosen])
+                continue
+            for t in range(8):
+                shift = 1 + (pick >> 7 * t) % min(n - 1, 64) if n > 1 else 0
+                if not shift:
+                    break
+                lo, hi = np.arange(n - shift), np.arange(shift, n)
+                ok = _may_link(s[lo], p[lo], s[hi], p[hi]) & (c[lo] != c[hi])
+                lo, hi = lo[ok], hi[ok]
+                small = weight[lo] <= weight[hi]
+                asking.append(at[np.where(small, lo, hi)]), asked.append(at[np.where(small, hi, lo)])
         if keep.any():
+            place = np.cumsum(keep) - 1
+            who, whom = (np.concatenate(x).astype(np.int64) for x in (asking, asked))
+            order = np.argsort(who, kind="stable")
             at = np.flatnonzero(keep)
-            yield pa.RecordBatch.from_arrays([*(pa.array(c[at]) for c in (token, size, key, pos, dealt)), pa.array(pivot[at], mask=~some[at])],
-                                             ["token", "size", "class", "pos", "dealt", "partner"])
+            ends = np.concatenate(([0], np.cumsum(np.bincount(place[who], minlength=len(at)))))
+            yield pa.RecordBatch.from_arrays([*(pa.array(c[at]) for c in (token, size, key, pos, dealt)), _lists(key[whom[order]], ends)],
+                                             ["token", "size", "class", "pos", "dealt", "partners"])
 
-    yield from _groups(batches, solve)
+    return lambda batches: _groups(batches, solve)
 
 
 def _all_partners(batches):
@@ -242,13 +285,11 @@ def _all_partners(batches):
                 continue
             grid = int(dealt[a])
             square = not grid or cell[a] // grid == cell[a] % grid
-            step = max(1, (1 << 20) // n)
+            step = max(1, _MATRIX // n)
             for lo in range(0, n, step):
                 hi = min(n, lo + step)
                 x, y = slice(lo, hi), slice(lo, n)
-                left = np.minimum((s - p)[x][:, None], (s - p)[y][None, :])
-                total = s[x][:, None] + s[y][None, :]
-                ok = (5 * s[x][:, None] >= 4 * s[y][None, :]) & (9 * left >= 4 * total) & (c[x][:, None] != c[y][None, :])
+                ok = _may_link(s[x][:, None], p[x][:, None], s[y][None, :], p[y][None, :]) & (c[x][:, None] != c[y][None, :])
                 if not square:
                     ok &= g[x][:, None] != g[y][None, :]
                 i, j = np.nonzero(ok)
@@ -271,58 +312,66 @@ def _near_ranges(batches):
 
 
 def _same_enough(batches):
-    """Pairs whose sets are similar enough."""
+    """Pairs whose sets are similar enough; the two sets of a pair follow each other, copies of a set too."""
+    before, a_out, b_out = None, [], []
     for batch in batches:
-        ok = np.zeros(batch.num_rows, bool)
-        for i, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
-            x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-            both = np.concatenate((x, y))
-            both.sort(kind="stable")
-            ok[i] = 9 * int((both[1:] == both[:-1]).sum()) >= 4 * (len(x) + len(y))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok))
-
-
-def _whole_sets(docs: DataFrame, keys: DataFrame, n: int) -> DataFrame:
-    """(class, set) of the given classes, from the texts; a Bloom filter of fixed size spares the others the way."""
-    def places(x):
-        x = x.view(np.uint64)
+        a, b, own = (batch.column(i).to_numpy() for i in range(3))
+        grams = batch.column(3)
+        for i in range(batch.num_rows):
+            now = (a[i], b[i], own[i])
+            if before is not None and now[:2] == before[0][:2] and now[2] != before[0][2]:
+                x, y = before[1], np.frombuffer(grams[i].as_py(), "<u8")
+                both = np.concatenate((x, y))
+                both.sort(kind="stable")
+                if 9 * int((both[1:] == both[:-1]).sum()) >= 4 * (len(x) + len(y)):
+                    a_out.append(now[0]), b_out.append(now[1])
+                before = None
+            elif before is None or now != before[0]:
+                before = now, np.frombuffer(grams[i].as_py(), "<u8")
+        if a_out:
+            yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], ["a", "b"])
+            a_out, b_out = [], []
+
+
+def _whole_sets(docs: DataFrame, id_col: str, named: DataFrame, n: int) -> DataFrame:
+    """(class, set) of one row of each given (class, id), from the texts; a Bloom filter of fixed size spares the others the way."""
+    def places(key, row):
+        x = mix64(key.view(np.uint64)) ^ row.view(np.uint64)
         return [(mix64(x + np.uint64(s)) % np.uint64(_BLOOM_BITS)).astype(np.int64) for s in (1, 2, 3)]
 
     def mark(batches):
-        bits, some = np.zeros(_BLOOM_BITS, bool), False
+        bits, some = np.zeros(_BLOOM_BITS >> 3, np.uint8), False
         for batch in batches:
-            for at in places(batch.column(0).to_numpy()):
-                bits[at] = some = True
+            for at in places(batch.column(0).to_numpy(), batch.column(1).to_numpy()):
+                np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
+                some = True
         if some:
-            whole = np.packbits(bits)
-            for k in range(0, len(whole), 1 << 18):
-                yield packed(k >> 18, whole[k:k + (1 << 18)])
+            for k in range(0, len(bits), 1 << 18):
+                yield packed(k >> 18, bits[k:k + (1 << 18)])
 
-    got = summed(keys.mapInArrow(mark, SCHEMA), "u1", np.bitwise_or)
+    got = summed(named.select("class", F.xxhash64("id").alias("row")).mapInArrow(mark, SCHEMA), "u1", np.bitwise_or)
     bloom = np.concatenate([got[k] for k in range(_BLOOM_BITS >> 21)]) if got else np.zeros(_BLOOM_BITS >> 3, np.uint8)
     held = docs.sparkSession.sparkContext.broadcast(bloom)  # _BLOOM_BITS / 8 bytes
 
     def run(batches):
         bloom, seen = held.value, set()
         for batch in batches:
-            for _, texts in _slices(batch, 0):
+            for at, texts in _slices(batch, 1):
                 _, tokens, owner, _ = grams(texts, n)
                 tokens, owner, sizes, starts = _sorted_sets(tokens, owner, None, len(texts))
                 keys = _digests(tokens, sizes, starts)
                 take = sizes > 0
-                for at in places(keys):
-                    take &= (bloom[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+                for spot in places(keys, batch.column(0).to_numpy()[at:at + len(texts)]):
+                    take &= (bloom[spot >> 3] >> (spot & 7).astype(np.uint8) & 1).astype(bool)
                 out = []
                 for i in np.flatnonzero(take):
                     if int(keys[i]) not in seen:
                         seen.add(int(keys[i]))
                         out.append((int(keys[i]), tokens[starts[i]:starts[i + 1]].astype("<u8").tobytes()))
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int64()), pa.array([t for _, t in out], pa.binary())], ["class", "grams"])
+                for lo in range(0, len(out), 256):
+                    yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out[lo:lo + 256]], pa.int64()), pa.array([t for _, t in out[lo:lo + 256]], pa.binary())], ["class", "grams"])
 
-    found = docs.select(F.col("text").cast("string")).mapInArrow(run, "class long, grams binary")
-    # Copies in several tasks: one of them, by an aggregate that keeps one set a task.
-    return found.join(keys, "class", "left_semi").groupBy("class").agg(F.first("grams").alias("grams"))
+    return docs.select(F.xxhash64(id_col), F.col("text").cast("string")).mapInArrow(run, "class long, grams binary")
 
 
 def _both(pairs: DataFrame, table: DataFrame, *names: str) -> DataFrame:
@@ -332,8 +381,8 @@ def _both(pairs: DataFrame, table: DataFrame, *names: str) -> DataFrame:
     return pairs.select("a", "b", *(f"{c}_{side}" for c in names for side in ("a", "b")))
 
 
-def similar_links(docs: DataFrame, classes: DataFrame, n: int = N) -> DataFrame | None:
-    """(a, b) links that connect the classes joined by chains of similar pairs; ``classes`` as from ``posted``, written."""
+def similar_components(docs: DataFrame, classes: DataFrame, id_col: str, n: int = N) -> DataFrame | None:
+    """(node, component) of the classes joined by chains of similar pairs; ``classes`` as from ``posted``, written."""
     one = classes.where("ranges is not null")
     lists = one.select("size", "class", F.posexplode("prefix").alias("pos", "token")).select("token", "size", "class", F.col("pos").cast("long").alias("pos"))
     long = written(lists.where(F.pmod(F.xxhash64("class"), F.lit(LOOK)) == 0).groupBy("token").count().where(F.col("count") * LOOK > 2 * CELL)
@@ -341,26 +390,32 @@ def similar_links(docs: DataFrame, classes: DataFrame, n: int = N) -> DataFrame
     zero = F.lit(0).cast("long")
     slot = F.when(F.col("dealt") > 0, F.pmod(F.xxhash64("class"), F.col("dealt"))).otherwise(zero)
 
-    def partners(rows):
+    def partners(rows, turn):
         order = ["token", "slot", "size", "class"]
-        return (rows.withColumn("slot", slot).select("token", "slot", "size", "class", "pos", "dealt", "comp").repartition("token", "slot").sortWithinPartitions(*order)
-                .mapInArrow(_first_partners, "token long, size long, class long, pos long, dealt long, partner long"))
+        # In a later turn, a long list is sliced anew, so that its slices get mixed.
+        own = F.when(F.col("dealt") > 0, F.pmod(F.xxhash64("class", F.lit(turn)), F.col("dealt"))).otherwise(zero)
+        return (rows.withColumn("slot", own).select("token", "slot", "size", "class", "pos", "dealt", "comp").repartition("token", "slot").sortWithinPartitions(*order)
+                .mapInArrow(_first_partners(turn), "token long, size long, class long, pos long, dealt long, partners array<long>"))
 
     lists = lists.join(long, "token", "left").withColumn("dealt", F.coalesce("dealt", zero))
-    met = written(partners(lists.withColumn("comp", F.col("class"))), "meeting")
+    met = written(partners(lists.withColumn("comp", F.col("class")), 0), "meeting")
     needed = written(met.select("class").distinct(), "needed")
     if needed.isEmpty():
         return None
-    ranges = written(one.join(needed, "class", "left_semi").groupBy("class").agg(F.first("size").alias("size"), F.first("ranges").alias("ranges")), "ranges")
-    sets = written(_whole_sets(docs, needed, n), "sets")
+    ranges = written(one.join(needed, "class", "left_semi").groupBy("class").agg(F.first("size").alias("size"), F.first("ranges").alias("ranges"), F.min("id").alias("id")), "ranges")
+    sets = written(_whole_sets(docs, id_col, ranges, n), "sets")
 
     def verified(pairs):
         near = written(_both(pairs, ranges, "size", "ranges").mapInArrow(_near_ranges, "a long, b long"), "near")
-        return written(_both(near, sets, "grams").mapInArrow(_same_enough, "a long, b long"), "links")
-
-    links, tried, comps = None, None, None
-    for _ in range(ROUNDS):
-        pairs = (met.where("partner is not null").groupBy("class", "partner").count().groupBy("class").agg(F.max_by("partner", F.struct("count", "partner")).alias("partner"))
+        asked = near.select(F.explode(F.array("a", "b")).alias("class"), "a", "b")
+        both = asked.join(sets, "class").select("a", "b", "class", "grams").repartition("a", "b").sortWithinPartitions("a", "b", "class")
+        return written(both.mapInArrow(_same_enough, "a long, b long"), "links")
+
+    tried, links, comps = None, None, None
+    for turn, most in enumerate(PARTNERS, 1):
+        counted = met.select("class", F.explode("partners").alias("partner")).groupBy("class", "partner").count()
+        best = F.slice(F.sort_array(F.collect_list(F.struct(-F.col("count"), F.xxhash64("class", "partner", F.lit(turn)), F.col("partner")))), 1, most)
+        pairs = (counted.groupBy("class").agg(best.alias("best")).select("class", F.explode("best.partner").alias("partner"))
                  .select(F.least("class", "partner").alias("a"), F.greatest("class", "partner").alias("b")).distinct())
         pairs = written(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = pairs if tried is None else tried.unionAll(pairs)
@@ -368,10 +423,13 @@ def similar_links(docs: DataFrame, classes: DataFrame, n: int = N) -> DataFrame
         if found.isEmpty():
             break
         links = found if links is None else links.unionAll(found)
-        comps = written(connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst"))), "components")
-        named = met.drop("partner").join(comps, F.col("class") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "class")).drop("node", "component")
-        met = written(partners(named), "meeting")
-    named = met.drop("partner")
+        if turn < len(PARTNERS):
+            comps = written(_merged(found, comps), "components")
+        else:  # whole, as all pairs that are left between components will be verified
+            comps = written(connected_components(_with_known(links, comps)), "components")
+        named = met.drop("partners").join(comps, F.col("class") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "class")).drop("node", "component")
+        met = written(partners(named, turn), "meeting")
+    named = met.drop("partners")
     named = named.withColumn("comp", F.col("class")) if comps is None else (
         named.join(comps, F.col("class") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "class")).drop("node", "component"))
     # In the grid, a class of slot s goes to the cells (s, t) and (t, s), kept once: every two slots meet in one cell.
@@ -380,18 +438,47 @@ def similar_links(docs: DataFrame, classes: DataFrame, n: int = N) -> DataFrame
     dealt = named.withColumn("slot", slot).select("token", F.explode(cells).alias("cell"), "size", "class", "pos", "comp", "slot", "dealt")
     rest = (dealt.repartition("token", "cell").sortWithinPartitions("token", "cell", "size", "class").mapInArrow(_all_partners, "a long, b long").distinct())
     found = verified(written(rest if tried is None else rest.join(tried, ["a", "b"], "left_anti"), "pairs"))
-    return found if links is None else links.unionAll(found)
+    return written(connected_components(_with_known(found if links is None else links.unionAll(found), comps)), "components")
+
+
+def _with_known(links: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """Links, and those from the nodes of the components known before to their names."""
+    new = links.select(F.col("a").alias("src"), F.col("b").alias("dst"))
+    return new if comps is None else new.unionAll(comps.select(F.col("node").alias("src"), F.col("component").alias("dst")))
+
+
+def _merged(links: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """(node, component) after new links, by one step to the least neighbour and two jumps from there.
+
+    Nodes of one component are connected; connected nodes may still be in
+    several, which costs later rounds some checks and loses nothing.
+    """
+    pairs = links.select(F.col("a").alias("src"), F.col("b").alias("dst"))
+    known = comps
+    for side in ("src", "dst"):
+        if known is not None:
+            named = known.select(F.col("node").alias(side), F.col("component").alias("_of"))
+            pairs = pairs.join(named, side, "left").withColumn(side, F.coalesce("_of", side)).drop("_of")
+    both = pairs.unionAll(pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    low = written(both.groupBy("src").agg(F.least("src", F.min("dst")).alias("low")), "neighbours")
+    for _ in range(2):
+        low = low.join(low.select(F.col("src").alias("low"), F.col("low").alias("_next")), "low", "left").select("src", F.coalesce("_next", "low").alias("low"))
+    nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    if known is not None:
+        nodes = nodes.join(known, "node", "full").select("node", F.coalesce("component", "node").alias("component"))
+    else:
+        nodes = nodes.withColumn("component", F.col("node"))
+    return nodes.join(low, F.col("component") == F.col("src"), "left").select("node", F.coalesce("low", "component").alias("component"))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N) -> DataFrame:
     """id, n_shingles, component_id (the least id reachable by links) of every row."""
     docs = docs.select(id_col, F.col(text_col).alias("text"))
     classes = written(posted(docs, id_col, n), "classes")
-    links = similar_links(docs, classes, n)
+    comps = similar_components(docs, classes, id_col, n)
     own = classes.select("id", "size", "class")
     least = own.where("class is not null").groupBy("class").agg(F.min("id").alias("least"))
-    if links is not None:
-        comps = connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    if comps is not None:
         named = written(least.join(comps, F.col("class") == F.col("node"), "left").select("class", "least", F.coalesce("component", "class").alias("comp")), "named")
         least = named.join(named.groupBy("comp").agg(F.min("least").alias("first")), "comp").select("class", F.col("first").alias("least"))
     label = written(least, "labels")

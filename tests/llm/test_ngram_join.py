@@ -75,7 +75,7 @@ def test_families(spark, monkeypatch, seed, groups, most, cell, look):
 
 
 def test_without_first_rounds(spark, monkeypatch):
-    monkeypatch.setattr(ngram_join, "ROUNDS", 0)
+    monkeypatch.setattr(ngram_join, "PARTNERS", ())
     rows = families(5, 10, 12, 20)
     assert got(ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
 
