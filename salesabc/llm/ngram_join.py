@@ -333,38 +333,43 @@ def _same_enough(batches):
             a_out, b_out = [], []
 
 
-def _whole_sets(docs: DataFrame, id_col: str, named: DataFrame, n: int) -> DataFrame:
-    """(class, set) of one row of each given (class, id), from the texts; a Bloom filter of fixed size spares the others the way."""
-    def places(key, row):
-        x = mix64(key.view(np.uint64)) ^ row.view(np.uint64)
-        return [(mix64(x + np.uint64(s)) % np.uint64(_BLOOM_BITS)).astype(np.int64) for s in (1, 2, 3)]
+def _whole_sets(docs: DataFrame, id_col: str, ids: DataFrame, n: int) -> DataFrame:
+    """(class, set) of the texts under the given ids; a Bloom filter of fixed size spares all other texts the way.
+
+    It lets some more texts pass, and other texts under the same id; their
+    classes find no request.
+    """
+    def places(row):
+        return [(mix64(row.view(np.uint64) + np.uint64(s)) % np.uint64(_BLOOM_BITS)).astype(np.int64) for s in (1, 2, 3)]
 
     def mark(batches):
         bits, some = np.zeros(_BLOOM_BITS >> 3, np.uint8), False
         for batch in batches:
-            for at in places(batch.column(0).to_numpy(), batch.column(1).to_numpy()):
+            for at in places(batch.column(0).to_numpy()):
                 np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
                 some = True
         if some:
             for k in range(0, len(bits), 1 << 18):
                 yield packed(k >> 18, bits[k:k + (1 << 18)])
 
-    got = summed(named.select("class", F.xxhash64("id").alias("row")).mapInArrow(mark, SCHEMA), "u1", np.bitwise_or)
+    got = summed(ids.select(F.xxhash64("id").alias("row")).mapInArrow(mark, SCHEMA), "u1", np.bitwise_or)
     bloom = np.concatenate([got[k] for k in range(_BLOOM_BITS >> 21)]) if got else np.zeros(_BLOOM_BITS >> 3, np.uint8)
     held = docs.sparkSession.sparkContext.broadcast(bloom)  # _BLOOM_BITS / 8 bytes
 
     def run(batches):
         bloom, seen = held.value, set()
         for batch in batches:
-            for at, texts in _slices(batch, 1):
+            take = np.ones(batch.num_rows, bool)
+            for spot in places(batch.column(0).to_numpy()):
+                take &= (bloom[spot >> 3] >> (spot & 7).astype(np.uint8) & 1).astype(bool)
+            if not take.any():
+                continue
+            for _, texts in _slices(batch.filter(pa.array(take)), 1):
                 _, tokens, owner, _ = grams(texts, n)
                 tokens, owner, sizes, starts = _sorted_sets(tokens, owner, None, len(texts))
                 keys = _digests(tokens, sizes, starts)
-                take = sizes > 0
-                for spot in places(keys, batch.column(0).to_numpy()[at:at + len(texts)]):
-                    take &= (bloom[spot >> 3] >> (spot & 7).astype(np.uint8) & 1).astype(bool)
                 out = []
-                for i in np.flatnonzero(take):
+                for i in np.flatnonzero(sizes):
                     if int(keys[i]) not in seen:
                         seen.add(int(keys[i]))
                         out.append((int(keys[i]), tokens[starts[i]:starts[i + 1]].astype("<u8").tobytes()))
