@@ -328,3 +328,45 @@ def test_keep_last_of_stored_rows(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     plan = a._jdf.queryExecution().sparkPlan().toString()
     assert "LeftAnti" in plan and plan.count("SortAggregate(") == 2  # both halves of the aggregate over repeated keys
+
+
+def test_headers_read_first_blocks_only(spark, monkeypatch):
+    """The bytes read for headers don't grow with the files; quoted names may hold separators and line breaks."""
+    base = session.scratch_path(spark, "headers")
+    import os
+    import types
+    for month, lines in (("2025-01", 10), ("2025-02", 200_000)):
+        os.makedirs(f"{base}/mes={month}")
+        with open(f"{base}/mes={month}/a.csv", "w") as f:
+            f.write('\ufeffA,"B, ""b""","C\nc"\n' + "1,2,3\n" * lines)
+    import pyarrow.fs as pafs
+    read = []
+    real = pafs.FileSystem.from_uri
+
+    class Counted:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def open_input_file(self, name):
+            source = self.fs.open_input_file(name)
+
+            class Source:
+                __enter__ = lambda s: s
+                __exit__ = lambda s, *a: source.close()
+                size = staticmethod(source.size)
+                read_at = staticmethod(lambda n, at: read.append(n) or source.read_at(n, at))
+            return Source()
+
+    monkeypatch.setattr(pafs, "FileSystem", types.SimpleNamespace(from_uri=lambda u: (Counted(real(u)[0]), real(u)[1])))
+    import pyarrow as pa
+    paths = pa.RecordBatch.from_arrays([pa.array([f"file://{base}/mes={m}/a.csv" for m in ("2025-01", "2025-02")])], ["file"])
+    got = next(iter(files._read_headers(",")([paths])))
+    monkeypatch.undo()
+    assert got.column(2).to_pylist() == [["A", 'B, "b"', "C\nc"]] * 2
+    assert len(read) == 2 and max(read) <= files.HEADER_BLOCK
+    found = files.csv_headers(spark, base, F.col("mes") == "2025-02").collect()
+    assert [r.names for r in found] == [["A", 'B, "b"', "C\nc"]] and "2025-02" in found[0].file
+    rows = files.read_csv_by_header(spark, base, {'B, "b"': "b", "C\nc": "c"}, files.csv_headers(spark, base, F.lit(True)), ["mes"], F.lit(True))
+    assert rows.count() == 200_010 and rows.select("b", "c").distinct().collect() == [("2", "3")]
+    monkeypatch.setattr(files, "_opens_in_tasks", lambda *a: False)
+    assert len(files.csv_headers(spark, base, F.lit(True)).collect()) == 2
