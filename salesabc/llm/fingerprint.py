@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_words, mix64, text_array, words_of
+from .common import hash_words, mix64, text_array, words_of, written
 
 LANES = 2
 BITS = 64 * LANES
@@ -194,3 +194,18 @@ def within_radius(queries: DataFrame, fps: DataFrame, radius: int = 6) -> DataFr
             .select("q0", "q1", "lane0", "lane1", distance.alias("distance")).distinct())
     name = lambda *c: F.lower(F.concat(*[F.lpad(F.hex(x), 16, "0") for x in c]))
     return near.select(name("q0", "q1").alias("query"), name("lane0", "lane1").alias("fingerprint"), "distance")
+
+
+def search(docs: DataFrame, asked, id_col: str = "doc_id", text_col: str = "text", radius: int = 6) -> DataFrame:
+    """All fingerprints within the radius of those of the rows for which ``asked`` holds.
+
+    A row for each asking document and fingerprint near its own (its own
+    too): id, fingerprint, near_fingerprint, distance, near_id (the least
+    id with that fingerprint), near_docs (documents that have it).
+    """
+    own = written(fingerprints(docs, id_col, text_col), "fingerprints")
+    classes = written(own.groupBy("fingerprint").agg(F.min(id_col).alias("near_id"), F.count("*").alias("near_docs")), "fingerprint-classes")
+    asking = own.where(asked)
+    near = written(within_radius(asking.select("fingerprint").distinct(), classes, radius), "near-fingerprints")
+    named = near.join(classes, "fingerprint").select("query", F.col("fingerprint").alias("near_fingerprint"), "distance", "near_id", "near_docs")
+    return asking.join(named, F.col("fingerprint") == F.col("query")).select(id_col, "fingerprint", "near_fingerprint", "distance", "near_id", "near_docs")

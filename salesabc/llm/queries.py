@@ -27,6 +27,10 @@ def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_pairs(table(spark, sf_dir, "documents"))
 
 
+def op4_fingerprint_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.search(table(spark, sf_dir, "documents"), F.col("doc_id") % 50 == 0)
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -76,6 +80,7 @@ QUERIES = {"op1_best_fit_packing": op1_best_fit_packing,
            "op2_warc": op2_warc,
            "op3_quality_classifier": op3_quality_classifier,
            "op4_document_fingerprints": op4_document_fingerprints,
+           "op4_fingerprint_search": op4_fingerprint_search,
            "op5_benchmark_decontamination": op5_benchmark_decontamination,
            "op6_lm_scoring": op6_lm_scoring,
            "op7_line_dedup": op7_line_dedup,

@@ -89,3 +89,59 @@ def test_query_follows_ids(spark):
     got = QUERIES["op4_document_fingerprints"](spark, sf).collect()
     assert sorted((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in got) == sorted(brute(rows))
     assert np.mean([r["near_edited"] > r["near_next"] for r in got]) > 0.9
+
+
+def plain_simhash(text):
+    """The fingerprint by its definition, a term and a bit at a time."""
+    import math
+
+    import xxhash
+    mask = (1 << 64) - 1
+
+    def mix(x):
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & mask
+        x = (x ^ x >> 27) * 0x94D049BB133111EB & mask
+        return x ^ x >> 31
+
+    words = [xxhash.xxh3_64_intdigest(w) for w in (text or "").encode().lower().split()]
+    terms = [mix(a * 0x9E3779B97F4A7C15 + b & mask) for a, b in zip(words, words[1:])] or words
+    weight = {t: 1 + math.log(terms.count(t)) for t in set(terms)}
+    lanes = []
+    for lane in range(2):
+        salt = mix((lane + 1) * 0x9E3779B97F4A7C15 & mask)
+        votes = [sum(w if mix(t ^ salt) >> b & 1 else -w for t, w in weight.items()) for b in range(64)]
+        lanes.append((sum(1 << b for b in range(64) if votes[b] > 1e-4), any(abs(v) <= 1e-4 for v in votes)))
+    return "".join(f"{v:016x}" for v, _ in lanes), any(tie for _, tie in lanes)
+
+
+def test_fingerprints_and_likeness_by_definition(spark, awkward):
+    import math
+    rows = [(r["doc_id"], r["text"]) for r in awkward.collect() if r["text"] is None or len(r["text"]) < 5000]
+    rows += [(1000 + i, t) for i, (_, t) in enumerate(in_order(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))[:40]) if len(t or "") < 5000]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {}
+    for r in fingerprint.fingerprints(df).collect():
+        got.setdefault(r["doc_id"], set()).add(r["fingerprint"])
+    for key, text in rows:
+        want, tied = plain_simhash(text)
+        assert tied or want in got[key]
+    pairs = fingerprint.fingerprint_pairs(df.where("doc_id >= 1000")).collect()
+    by = {r["doc_id"]: r for r in pairs}
+    ids = sorted(by)
+    for key, after in zip(ids, ids[1:] + ids[:1]):
+        apart = (int(by[key]["fingerprint"], 16) ^ int(by[after]["fingerprint"], 16)).bit_count()
+        assert abs(by[key]["near_next"] - max(0.0, math.cos(math.pi * apart / 128))) < 1e-6
+
+
+def test_search_query_finds_all(spark):
+    from salesabc.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    own = {r["doc_id"]: r["fingerprint"] for r in fingerprint.fingerprints(spark.read.parquet(f"{sf}/documents.parquet")).collect()}
+    classes = {}
+    for key, fp in own.items():
+        classes.setdefault(fp, []).append(key)
+    want = {(key, fp, (int(own[key], 16) ^ int(fp, 16)).bit_count(), min(ids), len(ids)) for key in own if key % 50 == 0 for fp, ids in classes.items()
+            if (int(own[key], 16) ^ int(fp, 16)).bit_count() <= 6}
+    got = {(r["doc_id"], r["near_fingerprint"], r["distance"], r["near_id"], r["near_docs"]) for r in QUERIES["op4_fingerprint_search"](spark, sf).collect()}
+    assert got == want and len(want) >= 4
