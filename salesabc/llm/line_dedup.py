@@ -1,13 +1,19 @@
-"""Line de-duplication by full hashing of line windows, in DataFrame functions alone.
-
-A window is the shortest run of lines from a line on (or back from a line)
-with at least ``threshold`` characters, so any repeated run of that size holds
-a whole window.  Every window is hashed with all its lines: this is not
-winnowing, no sparse fingerprints are selected.  The least line hash of a
-window (its mark) only narrows the candidates and changes no result.  Windows
-with the same lines are matched to the earliest of them, and since windows
-reach out from every line in both directions, the matched ones together cover
-each repeated run to its ends.  Later runs are deleted, the earliest stays.
+"""Line de-duplication by winnowing over line hashes, in DataFrame functions alone.
+
+A window is a run of lines with at least ``threshold`` characters that holds
+no shorter such run.  Every window selects its least line hash, the leftmost
+of equal ones; neighbouring windows mostly select the same line, so the
+selected places are the sparse fingerprints of a text.  Any repeated run of
+``threshold`` characters holds a whole window, which selects the same line in
+every copy, so none is missed.
+
+Fingerprints are joined on their hash, and only places whose hash stands
+elsewhere too are extended: line by line to the right and to the left of
+their window, as far as no other window fits in (that one extends itself).
+A match is extended by groups, not by pairs of places: all places with equal
+extended lines meet at the earliest of them, so a frequent line gives no
+pairs, and the earliest copy of a long run may be another than that of its
+window.  Later runs are deleted, the earliest stays.
 
 So a line goes exactly if it lies in a run of at least ``threshold``
 characters (each line counted with its break) that occurs at an earlier
@@ -34,39 +40,59 @@ def _normal(line: Column) -> Column:
     return F.lower(F.trim(line))
 
 
-def windows(docs: DataFrame, id_col: str, text_col: str, threshold: int) -> DataFrame:
-    """(id, tk, first, last, gram, mark): every window with the hash of its lines and its least line hash.
+def fingerprints(docs: DataFrame, id_col: str, text_col: str, threshold: int) -> DataFrame:
+    """(id, tk, first, size, lead, around, mark, at): every window with its selected line.
 
-    ``tk`` tells texts under the same id apart.  Window frames hold at most
-    ``threshold`` lines, as each line counts at least one character.
+    ``around`` holds the line hashes of the window (``size`` from index
+    ``lead`` on) and of the lines that it may be extended by.  ``mark`` is the
+    selected hash and ``at`` its line.  ``tk`` tells texts under the same id
+    apart.  Frames hold at most ``threshold`` lines, as each line counts at
+    least one character.
     """
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     lines = texts.select("id", F.xxhash64("text").alias("tk"), F.posexplode(F.split("text", "\n", -1)).alias("line", "text"))
-    hashed = lines.select("id", "tk", "line", F.xxhash64(_normal(F.col("text"))).alias("h"), (F.length(_normal(F.col("text"))) + 1).cast("long").alias("size"))
-    hashed = hashed.groupBy("id", "tk", "line").agg(F.first("h").alias("h"), F.first("size").alias("size"))  # equal rows share places
-    doc = Window.partitionBy("id", "tk").orderBy("line")
-    placed = hashed.withColumn("upto", F.sum("size").over(doc)).withColumn("before", F.col("upto") - F.col("size"))
-    ahead = Window.partitionBy("id", "tk").orderBy("before").rangeBetween(0, threshold - 1)
-    back = Window.partitionBy("id", "tk").orderBy("upto").rangeBetween(-(threshold - 1), 0)
-    both = placed.select("id", "tk", "line", F.collect_list("h").over(ahead).alias("a"), F.sum("size").over(ahead).alias("a_size"),
-                         F.collect_list("h").over(back).alias("b"), F.sum("size").over(back).alias("b_size"))
-    right = F.when(F.col("a_size") >= threshold, F.struct(F.col("line").alias("first"), F.col("a").alias("hs")))
-    left = F.when((F.col("b_size") >= threshold) & (F.size("b") > 1), F.struct((F.col("line") - F.size("b") + 1).alias("first"), F.col("b").alias("hs")))
-    one = both.select("id", "tk", F.explode(F.array_compact(F.array(right, left))).alias("w"))
-    return one.select("id", "tk", F.col("w.first").alias("first"), (F.col("w.first") + F.size("w.hs") - 1).alias("last"),
-                      F.xxhash64("w.hs", F.size("w.hs")).alias("gram"), F.array_min("w.hs").alias("mark"))
+    hashed = lines.select("id", "tk", "line", F.xxhash64(_normal(F.col("text"))).alias("h"), (F.length(_normal(F.col("text"))) + 1).cast("long").alias("chars"))
+    hashed = hashed.groupBy("id", "tk", "line").agg(F.first("h").alias("h"), F.first("chars").alias("chars"))  # equal rows share places
+    doc = Window.partitionBy("id", "tk")
+    placed = hashed.withColumn("upto", F.sum("chars").over(doc.orderBy("line"))).withColumn("before", F.col("upto") - F.col("chars"))
+    # From a window's first line to where the lines behind that one would make a window of their own ...
+    reach = doc.orderBy("upto").rangeBetween(0, threshold - 1)
+    # ... likewise back from a window's last line, and the window itself.
+    back = doc.orderBy("before").rangeBetween(-(threshold - 1), 0)
+    ahead = doc.orderBy("before").rangeBetween(0, threshold - 1)
+    near = placed.withColumn("right", F.collect_list("h").over(reach)).withColumn("left", F.collect_list("h").over(back))
+    both = near.select("id", "tk", "line", "chars", "right", F.last("left").over(ahead).alias("left"),
+                       F.sum("chars").over(ahead).alias("total"), F.count("h").over(ahead).cast("int").alias("size"))
+    own = both.where((F.col("total") >= threshold) & (F.col("total") - F.col("chars") < threshold))
+    lead = F.size("left") - F.col("size")
+    core = F.slice("right", F.lit(1), F.col("size"))
+    found = own.select("id", "tk", F.col("line").alias("first"), "size", lead.alias("lead"),
+                       F.concat(F.slice("left", F.lit(1), lead), "right").alias("around"), core.alias("core"), F.array_min(core).alias("mark"))
+    return found.withColumn("at", (F.col("first") + F.array_position("core", F.col("mark")) - 1).cast("int")).drop("core")
+
+
+def _extents(found: DataFrame) -> DataFrame:
+    """(id, tk, first, last, gram): each window, and it with one more line at a time on either side."""
+    lead, size, n = F.col("lead"), F.col("size"), F.size("around")
+    right = F.transform(F.sequence(lead + size, n), lambda end: F.struct(lead.alias("a"), end.alias("b")))
+    left = F.when(lead > 0, F.transform(F.sequence(F.lit(0), lead - 1), lambda start: F.struct(start.alias("a"), (lead + size).alias("b")))).otherwise(F.array().cast("array<struct<a:int,b:int>>"))
+    one = found.select("id", "tk", "first", "lead", "around", F.explode(F.concat(right, left)).alias("e"))
+    length = F.col("e.b") - F.col("e.a")
+    start = F.col("first") - F.col("lead") + F.col("e.a")
+    return one.select("id", "tk", start.alias("first"), (start + length - 1).alias("last"), F.xxhash64(F.slice("around", F.col("e.a") + 1, length), length).alias("gram"))
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """(id, tk, line) of every line to delete."""
-    found = written(windows(docs, id_col, text_col, threshold), "line-windows")
-    # Marks at more than one place; combined before the shuffle.
+    found = written(fingerprints(docs, id_col, text_col, threshold), "line-fingerprints")
+    # Selected hashes at more than one place; combined before the shuffle.
+    at = F.struct("id", "tk", "at")
+    marks = written(found.groupBy(F.col("mark").alias("_mark")).agg(F.min(at).alias("lo"), F.max(at).alias("hi")).where("lo < hi").select("_mark"), "line-marks")
+    extents = written(_extents(found.join(marks, F.col("mark") == F.col("_mark"), "left_semi")), "line-extents")
+    # Runs that agree in all their lines meet at the earliest of them.
     place = F.struct("id", "tk", "first")
-    marks = written(found.groupBy(F.col("mark").alias("_mark")).agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo < hi").select("_mark"), "line-marks")
-    candidates = found.join(marks, F.col("mark") == F.col("_mark"), "left_semi")
-    # Windows that agree in all their lines meet at the earliest of them.
-    earliest = written(candidates.groupBy(F.col("gram").alias("_gram")).agg(F.min(place).alias("_kept"), F.max(place).alias("_last")).where("_kept < _last").select("_gram", "_kept"), "line-grams")
-    later = found.join(earliest, F.col("gram") == F.col("_gram")).where(place > F.col("_kept"))
+    earliest = written(extents.groupBy(F.col("gram").alias("_gram")).agg(F.min(place).alias("_kept"), F.max(place).alias("_last")).where("_kept < _last").select("_gram", "_kept"), "line-grams")
+    later = extents.join(earliest, F.col("gram") == F.col("_gram")).where(place > F.col("_kept"))
     return later.select("id", "tk", F.explode(F.sequence("first", "last")).alias("line")).distinct()
 
 

@@ -42,13 +42,37 @@ def cases():
 
 def test_equals_brute_force(spark):
     df = spark.createDataFrame(cases(), "doc_id long, text string")
-    for name in ("line", "id", "tk", "gram", "mark", "first", "last", "h"):
+    for name in ("line", "id", "tk", "gram", "mark", "first", "last", "h", "at", "around", "lead", "size", "left", "right"):
         df = df.withColumn(name, F.lit("clash"))
     out = line_dedup.dedup_lines(df.repartition(3, "doc_id"))
     assert out.columns == [*df.columns, "removed_lines"]
     assert sorted(((r["doc_id"], r["text"], r["removed_lines"]) for r in out.collect()), key=str) == brute(cases())
 
 
+def test_fingerprints_are_window_minima(spark):
+    """Every window of 20 characters selects one line; a repeated run selects the same lines in each copy."""
+    text = "\n".join("abcdefg"[i % 7] * (1 + i * i % 9) for i in range(300))
+    df = spark.createDataFrame([(1, text), (2, "other words\n" + text), (3, "short")], "doc_id long, text string")
+    rows = line_dedup.fingerprints(df, "doc_id", "text", line_dedup.THRESHOLD).collect()
+    size = [len(x) + 1 for x in text.split("\n")]
+    want = {(s, e) for s in range(300) for e in range(s, 300) if sum(size[s:e + 1]) >= 20 and sum(size[s + 1:e + 1]) < 20 and sum(size[s:e]) < 20}
+    assert {(r["first"], r["first"] + r["size"] - 1) for r in rows if r["id"] == 1} == want
+    for r in rows:
+        core = r["around"][r["lead"]:r["lead"] + r["size"]]
+        assert r["mark"] == min(core) and r["at"] == r["first"] + core.index(min(core))
+    chosen = {k: {r["at"] for r in rows if r["id"] == k} for k in (1, 2, 3)}
+    assert {a + 1 for a in chosen[1]} <= chosen[2] and not chosen[3] and len(chosen[1]) < 0.6 * 300
+
+
+def test_earliest_of_a_run_and_of_its_window_differ(spark):
+    """The window is first met without the line behind it; that line goes with the earliest run that holds both."""
+    long = "this line is long enough alone"
+    rows = [(1, f"{long}\ny"), (2, f"q\n{long}\nx"), (3, f"{long}\nx\nz"), (4, f"q\n{long}\ny")]
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r["doc_id"], r["text"]) for r in out.collect()) == [(1, f"{long}\ny"), (2, "q\nx"), (3, "z"), (4, "")]
+    assert sorted(((r["doc_id"], r["text"], r["removed_lines"]) for r in out.collect()), key=str) == brute(rows)
+
+
 def test_native_plan(spark):
     plan = line_dedup.dedup_lines(spark.createDataFrame(cases(), "doc_id long, text string"))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
