@@ -52,7 +52,8 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return unit_dedup.repeated_units(table(spark, sf_dir, "documents")).drop("text_key").withColumnsRenamed({"kept_id": "kept_doc_id"})
+    removed = unit_dedup.repeated_units(table(spark, sf_dir, "documents"), unit="passage", min_words=unit_dedup.PASSAGE_WORDS)
+    return removed.drop("text_key").withColumnsRenamed({"kept_id": "kept_doc_id"})
 
 
 def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,12 @@ The unit "passage" takes all of them together: paragraphs, lines, and runs of
 sentences, which are the shortest with ``min_words`` words from every sentence
 onwards and back, over line breaks too.  So any row of whole sentences with
 that many words in all goes if it stands earlier, short sentences with their
-neighbours.  A unit that overlaps the place that is kept stays.
+neighbours.  A unit that overlaps the place that is kept stays.  Spans of a
+passage overlap, as each of its runs is a unit.
+
+How many words make a true repeat is the caller's choice.  Sentences and lines
+of five words also repeat by chance or are phrases that everybody writes;
+from ``PASSAGE_WORDS`` on almost only copied passages repeat.
 
 Defined cases: units with fewer than ``min_words`` words stay; a null or empty
 text has no units; documents are ranked by ``rank`` columns, then id, then
@@ -31,6 +36,8 @@ from pyspark.sql import functions as F
 from .common import text_array, written
 
 MIN_WORDS = 5
+#: Words of a copied passage, for callers who leave chance repeats of short lines and sentences alone.
+PASSAGE_WORDS = 20
 UNITS = {
     "line": r"[^\n]+",
     "paragraph": r"(?:[^\n]*\S[^\n]*(?:\n|$))+",

@@ -57,13 +57,64 @@ def test_rank_decides_what_stays(spark):
     assert [r["doc_id"] for r in unit_dedup.repeated_units(df, rank=["age"]).collect()] == [1]
 
 
+def words_gone(rows, min_words):
+    """(id, offset of the word) of all words in a row of whole sentences, a line or a paragraph that stands earlier, by trying every row up to 3 * min_words words."""
+    first, gone = {}, set()
+    for key, text in sorted(rows, key=lambda r: r[0]):
+        found = list(re.finditer(r"[^\W_]+", (text or "").lower()))
+        stops = [w.end() for w in found]
+        # A word begins a sentence if a line break or an end mark stands before it.
+        begins = [i for i, w in enumerate(found) if i == 0 or re.search(r"[.!?\n]", text[stops[i - 1]:w.start()])] + [len(found)]
+        runs = set()
+        for a, i in enumerate(begins[:-1]):
+            for j in begins[a + 1:]:
+                if j - i >= min_words:
+                    runs.add((i, j))
+                if j - i > 3 * min_words:
+                    break
+        for unit in (r"[^\n]+", r"(?:[^\n]*\S[^\n]*\n?)+"):
+            for m in re.finditer(unit, text or ""):
+                own = [i for i, w in enumerate(found) if m.start() <= w.start() < m.end()]
+                if len(own) >= min_words:
+                    runs.add((own[0], own[-1] + 1))
+        for i, j in sorted(runs):
+            kept = first.setdefault(tuple(w.group() for w in found[i:j]), (key, i, j))
+            if kept[0] != key or i >= kept[2]:
+                gone.update((key, w.start()) for w in found[i:j])
+    return gone
+
+
 def test_query_against_brute_force(spark):
+    """Lines, paragraphs and rows of whole sentences from 20 words on: the same words go, each for a place that holds its words."""
     from salesabc.llm.queries import QUERIES
 
     sf = "/root/testdata/sf0.001"
-    texts = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
-    got = QUERIES["op9_substring_dedup"](spark, sf).collect()
-    assert sorted((r["doc_id"], r["start"], r["end"], r["kept_doc_id"], r["kept_start"]) for r in got) == brute(texts, "sentence")
+    texts = dict(tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect())
+    words = {k: [(m.start(), m.group()) for m in re.finditer(r"[^\W_]+", (t or "").lower())] for k, t in texts.items()}
+    got, gone = QUERIES["op9_substring_dedup"](spark, sf).collect(), set()
+    for r in got:
+        own = [w for w in words[r["doc_id"]] if r["start"] <= w[0] < r["end"]]
+        gone.update((r["doc_id"], at) for at, _ in own)
+        kept = [w for at, w in words[r["kept_doc_id"]] if at >= r["kept_start"]][:len(own)]
+        assert [w for _, w in own] == kept and len(own) == r["words"] >= 20
+        assert (r["kept_doc_id"], r["kept_start"]) < (r["doc_id"], r["start"])
+    assert gone and gone == words_gone(texts.items(), 20)
+
+
+def test_short_repeats_stay_and_copied_passages_go(spark):
+    """Below 20 words nothing goes; a passage inside other lines, a line and a paragraph of 20 words go with their offsets."""
+    passage = "One fine day we set out early. The road was long and dry. Nobody spoke for an hour or more. Then rain came."
+    line = " ".join(f"w{i}" for i in range(20))
+    para = "\n".join(" ".join(f"p{i}x{j}" for j in range(7)) for i in range(3))
+    rows = [(1, f"Five words repeat by chance. {passage}\nFive words repeat by chance. Own tail of one."), (2, f"Head of two. {passage.upper()} Own tail of two."),
+            (3, f"{line}\nelse"), (4, f"before\n{line}"), (5, f"{line} and more"), (6, f"x\n\n{para}\n\ny"), (7, f"{para}"), (8, "short. " * 9), (9, None), (10, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {}
+    for r in unit_dedup.repeated_units(df, unit="passage", min_words=unit_dedup.PASSAGE_WORDS).collect():
+        a, b = spans.get(r["doc_id"], (r["start"], r["end"]))
+        spans[r["doc_id"]] = (min(a, r["start"]), max(b, r["end"]))
+    cut = {k: dict(rows)[k][a:b].strip() for k, (a, b) in spans.items()}
+    assert cut == {2: passage.upper(), 4: line, 7: para}
 
 
 SHORT = "ENERAT!! ONOUTION.!! AT!! THHE!! ONRE!! OUHEAT,!! AS!! END."
