@@ -2,6 +2,7 @@
 
 import datetime as dt
 import glob
+import gzip
 import json
 import os
 
@@ -9,6 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from salesabc.operators import cumulative, dedup
+from salesabc.sinks import writers
+from salesabc.sources import files
 from salesabc.sources import testviews as tv
 
 DAY = dt.datetime(1998, 3, 2)
@@ -81,3 +84,37 @@ def test_range_slices_are_written_as_columns_not_checkpointed(spark):
     got = cumulative.running_sum(df, ["g"], [F.col("id")], "v", "s", strategy="range", slices=5)
     assert got.where(F.col("s") != F.floor(F.col("id") / 3) + 1).count() == 0 and got.count() == 1000
     assert {x for x in os.listdir(folder) if x.startswith("rdd-")} == {x for x in before if x.startswith("rdd-")}
+
+
+def test_few_repeated_keys_leave_stored_lines_unshuffled(spark, tmp_path):
+    df = spark.range(500).select((F.col("id") % 499).cast("string").alias("k"), F.col("id").alias("o"))
+    df.write.parquet(f"{tmp_path}/t")
+    got = dedup.keep_last_of_stored(spark.read.parquet(f"{tmp_path}/t"), ["k"], ["o"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+    assert got.count() == 499 and got.where("k = '0'").first()["o"] == 499
+
+
+def test_sheets_land_compressed_by_month_and_headers_are_read_from_them(spark, tmp_path):
+    text = spark.range(4000).repartition(6).select(F.col("id").cast("string").alias("numero_pedido"), F.lit("u\nv").alias("titulo"), F.concat(F.lit("2025-0"), F.col("id") % 4 + 1).alias("mes"))
+    base = f"{tmp_path}/s"
+    files.write_month_sheets(text.hint("rebalance", "mes"), base)
+    found = glob.glob(f"{base}/mes=*/*.csv.gz")
+    assert len(found) == 4 and files.csv_headers(spark, base, F.col("mes") != "2025-04").count() == 3
+    closed, current = files.read_month_sheets(spark, base, dt.date(2025, 4, 9))
+    assert closed.count() == 3000 and current.where("titulo = 'u\\nv'").count() == 1000
+    long = ",".join(f"c{i}" for i in range(30_000)) + "\n1,2\n"
+    os.makedirs(f"{tmp_path}/l")
+    for name, opened in (("a.csv", open), ("b.csv.gz", gzip.open), ("c.csv", open)):
+        with opened(f"{tmp_path}/l/{name}", "wt") as out:
+            out.write("a,b" if name == "c.csv" else long)
+    assert sorted(len(r["names"]) for r in files.csv_headers(spark, f"{tmp_path}/l").collect()) == [2, 30_000, 30_000]
+
+
+def test_markdown_is_written_compressed_unless_asked_plain(spark, tmp_path):
+    df = spark.createDataFrame([("2", "b"), ("1", "a|")], "numero_pedido string, sku string")
+    for compression, end in (("gzip", ".gz"), ("none", ".txt")):
+        path = f"{tmp_path}/{compression}"
+        writers.write_markdown(df, path, compression)
+        assert all(x.endswith(end) for x in glob.glob(f"{path}/*/part-*"))
+        assert sorted(map(tuple, files.read_markdown_table(spark, path).collect())) == [("1", "a-"), ("2", "b")]
