@@ -9,7 +9,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from salesabc.operators import cumulative, dedup
+from salesabc.functions.numeric import share_milli
+from salesabc.operators import cumulative, dedup, pareto, settlement
 from salesabc.sinks import writers
 from salesabc.sources import files
 from salesabc.sources import testviews as tv
@@ -118,3 +119,35 @@ def test_markdown_is_written_compressed_unless_asked_plain(spark, tmp_path):
         writers.write_markdown(df, path, compression)
         assert all(x.endswith(end) for x in glob.glob(f"{path}/*/part-*"))
         assert sorted(map(tuple, files.read_markdown_table(spark, path).collect())) == [("1", "a-"), ("2", "b")]
+
+
+def test_curves_shuffle_store_rows_once_and_both_windows_once(spark):
+    sales = spark.createDataFrame([("X - 1", "a", "t", 3, 9.0, DAY), ("X - 1", "b", "t", 1, 1.0, DAY), ("X - 2", "a", "t", 2, -4.0, DAY), ("X - 2", "c", None, 0, 0.0, DAY)],
+                                  "loja string, sku string, titulo string, quantidade long, valor_total_produto double, data_do_pedido timestamp").withColumn("valor_total_produto", F.col("valor_total_produto").cast("decimal(18,3)"))
+    stores = pareto.monthly_store_totals(sales)
+    totals, sums = pareto.group_totals(stores), pareto.group_sums(stores)
+    direct = totals.groupBy("grupo", "mes_data").agg(F.sum("quantidade_total_vendida"), F.sum("valor_total_gmv"))
+    assert sorted(map(str, map(tuple, sums.collect()))) == sorted(map(str, map(tuple, direct.collect()))) != []
+    curves = pareto.pareto_abc(sales)
+    assert sorted(map(str, curves.collect())) == sorted(map(str, pareto.pareto_abc(sales, strategy="window").collect()))
+    dealt = [x for x in pareto.pareto_abc(sales)._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning(" in x]
+    assert sum("_spread" in x for x in dealt) == 1 and not any("hashpartitioning(grupo" in x and "sku" in x for x in dealt)
+
+
+def test_share_of_thousandths_beyond_long_bounds(spark):
+    rows = [(v, t) for v in (0, 1, -1, 12345, -12345, 20_000_000_000_000, 10**17, -10**17) for t in (7, -7, 10**6, 4 * 10**18, -(9 * 10**18), 0) if abs(v) < 10**13 * abs(t) or not t]
+    got = spark.createDataFrame(rows, "v long, t long").select("v", "t", share_milli(F.col("v"), F.col("t")).alias("s")).collect()
+    for v, t, s in got:
+        q = (abs(v) * 200_000 + abs(t)) // (2 * abs(t)) if t else 0
+        assert s == (-q if (v < 0) != (t < 0) else q), (v, t)
+
+
+def test_lines_without_a_settled_price_pass_the_split_unsorted(spark):
+    dec = "decimal(18,3)"
+    sales = (spark.createDataFrame([("1", "a", "r1", 2.0, 1), ("1", "b", "r2", 1.0, 1), ("2", "a", "r3", 5.0, 2), (None, None, None, 7.0, 1), ("2", "a", "r3", 5.0, 2)],
+                                   "numero_pedido string, sku string, rastreio string, valor_unitario_venda double, quantidade long").withColumn("valor_unitario_venda", F.col("valor_unitario_venda").cast(dec)))
+    settled = spark.sql("select '1' id_pedido, cast(10 as decimal(18,3)) preco_acordado, cast(0 as decimal(18,3)) cashback_cupom, cast(0 as decimal(18,3)) `Comissão`")
+    out = settlement.apply_settlement(sales, settled, allocate=True)
+    assert sorted((r["rastreio"] or "", float(r["valor_total_produto"])) for r in out.collect()) == [("", 7.0), ("r1", 6.667), ("r2", 3.333), ("r3", 10.0), ("r3", 10.0)]
+    window = next(x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in x and "_slice" in x)
+    assert "Union" in out._jdf.queryExecution().optimizedPlan().toString() and "concat_ws" not in window
