@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from salesabc.llm import ngram_join
@@ -109,3 +110,25 @@ def test_query_against_all_pairs(spark):
     result = QUERIES["op13_ngram_jaccard_join"](spark, sf)
     assert [f.dataType.simpleString() for f in result.schema] == ["bigint", "bigint", "bigint"]
     assert got(result) == brute(rows)
+
+
+def test_parity_filter_spares_far_pairs_and_no_near_one():
+    rng = np.random.default_rng(13)
+    size, kept = 720, {}
+    shared = -(-4 * 2 * size // 9)  # the least number of n-grams that two such sets must share
+    for common in (size, shared, shared - 200):
+        sets = []
+        for _ in range(50):
+            base = rng.integers(0, 1 << 63, 2 * size - common).astype(np.uint64)
+            sets += [base[:size], base[size - common:]]
+        signs = ngram_join._parities(np.concatenate(sets), np.repeat(np.arange(100), size), 100)
+        pairs = pa.RecordBatch.from_arrays([pa.array(range(50), pa.int64())] * 2 + [pa.array([size] * 50, pa.int64())] * 2
+                                           + [pa.array([x.tobytes() for x in signs[side::2]], pa.binary()) for side in (0, 1)], list("abcdef"))
+        kept[common] = sum(b.num_rows for b in ngram_join._near_parities([pairs]))
+    assert kept == {size: 50, shared: 50, shared - 200: 0}
+
+
+def test_sets_of_asked_classes_only(spark):
+    sets = spark.range(1000).selectExpr("id as class", "encode(string(id), 'utf-8') as parities", "encode(string(id), 'utf-8') as grams")
+    asked = spark.createDataFrame([(7,), (7,), (600,)], "class long")
+    assert {7, 600} <= {r["class"] for r in ngram_join._asked_sets(sets, asked).collect()} < set(range(20)) | set(range(590, 610))
