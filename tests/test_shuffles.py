@@ -140,3 +140,14 @@ def test_share_of_thousandths_beyond_long_bounds(spark):
     for v, t, s in got:
         q = (abs(v) * 200_000 + abs(t)) // (2 * abs(t)) if t else 0
         assert s == (-q if (v < 0) != (t < 0) else q), (v, t)
+
+
+def test_catalogue_rows_are_not_sorted_by_product(spark, tables):
+    """Lines stream past a hash table of their products; a sort of all lines by product spilled."""
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = tv.catalog_rows(spark, tables)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert plan.count("ShuffledHashJoin") == 1 and plan.count("SortMergeJoin") == 1  # the suppliers' join has no hint
